@@ -126,3 +126,178 @@ ORACLE["q_profit_by_year"] = STAR + f"""
 SELECT CAST(year(order_date) AS INTEGER) AS year, {money_total_sql('profit')} AS total_profit,
        COUNT(*) AS order_count
 FROM enriched_orders GROUP BY 1 ORDER BY 1"""
+
+LINE_COLUMNS = """order_id, line_number, order_date_text AS order_date,
+       ship_date_text AS ship_date, customer_id, product_id, quantity, price, discount,
+       CAST(profit AS DOUBLE) AS profit"""
+
+ENRICHED_COLUMNS = ("order_id", "line_number", "order_date", "ship_date", "customer_id",
+                    "product_id", "quantity", "price", "discount", "profit", "customer_name",
+                    "country", "category", "sub_category")
+
+SUMMARY = STAR + f""",
+summary AS (
+  SELECT CAST(year(order_date) AS INTEGER) AS year, category, sub_category, customer_name,
+         {money_total_sql('profit')} AS total_profit, COUNT(order_id) AS order_count,
+         {money_total_sql('price')} AS total_revenue
+  FROM enriched_orders GROUP BY ALL)"""
+
+ORACLE.update({
+    "q_standardize_columns": STAR + f"\nSELECT {LINE_COLUMNS} FROM order_lines",
+    "q_trim_strings": STAR + """
+SELECT customer_id, customer_name, segment, country, region, address FROM raw_customers""",
+    "q_round_money": STAR + """
+SELECT order_id, line_number, CAST(ROUND(profit, 2) AS DOUBLE) AS profit FROM order_lines""",
+    "q_parse_date": STAR + """
+SELECT order_id, line_number, CAST(order_ts AS DATE) AS order_date,
+       CAST(ship_ts AS DATE) AS ship_date
+FROM order_lines""",
+    "q_try_cast_price": STAR + """
+SELECT product_id, TRY_CAST(price_per_product AS DOUBLE) AS price_per_product FROM raw_products""",
+    "q_normalize_newlines": "SELECT doc_id, replace(text, chr(10), ', ') AS text FROM documents",
+    "q_clean_name_documents": f"SELECT doc_id, {clean_name_sql('text')} AS text FROM documents",
+    "q_enriched_customers": STAR + "\nSELECT * FROM enriched_customers",
+    "q_dedup_keep_one": STAR + f"\nSELECT {LINE_COLUMNS} FROM raw_orders",
+    "q_duplicate_summary": STAR + """
+SELECT order_id, line_number, COUNT(*) AS count FROM order_lines
+GROUP BY order_id, line_number HAVING COUNT(*) > 1""",
+    "q_null_summary": STAR + "\nSELECT " + ",\n       ".join(
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in ENRICHED_COLUMNS)
+        + "\nFROM enriched_orders",
+    "q_derive_code": STAR + """
+SELECT order_id, line_number, product_id, category, sub_category FROM enriched_orders""",
+    "q_enrich_orders": STAR + "\nSELECT * FROM enriched_orders",
+    "q_profit_summary": SUMMARY + "\nSELECT * FROM summary ORDER BY year, category, sub_category, customer_name",
+    "q_profit_by_year_category": STAR + f"""
+SELECT CAST(year(order_date) AS INTEGER) AS year, category,
+       {money_total_sql('profit')} AS total_profit, COUNT(*) AS order_count
+FROM enriched_orders GROUP BY ALL ORDER BY year, category""",
+    "q_profit_by_customer": STAR + f"""
+SELECT customer_id, customer_name, {money_total_sql('profit')} AS total_profit,
+       COUNT(*) AS order_count
+FROM enriched_orders GROUP BY ALL ORDER BY total_profit DESC""",
+    "q_profit_by_customer_year": STAR + f"""
+SELECT customer_id, customer_name, CAST(year(order_date) AS INTEGER) AS year,
+       {money_total_sql('profit')} AS total_profit, COUNT(*) AS order_count
+FROM enriched_orders GROUP BY ALL ORDER BY customer_name, year""",
+    "q_top_n_groups": SUMMARY + """
+SELECT * FROM summary
+ORDER BY total_profit DESC NULLS LAST, year NULLS FIRST, category NULLS FIRST,
+         sub_category NULLS FIRST, customer_name NULLS FIRST
+LIMIT 10""",
+    "q_reconcile": SUMMARY + """,
+totals AS (
+  SELECT (SELECT ROUND(SUM(CAST(profit AS DECIMAL(18,2))), 2) FROM enriched_orders) AS s,
+         (SELECT ROUND(SUM(CAST(total_profit AS DECIMAL(18,2))), 2) FROM summary) AS a)
+SELECT CAST(s AS DOUBLE) AS source_total, CAST(a AS DOUBLE) AS aggregate_total,
+       s IS NOT DISTINCT FROM a AS matched
+FROM totals""",
+    "q_accepted_values": SUMMARY + f""",
+seen AS (SELECT DISTINCT category FROM summary),
+rules AS (
+  SELECT 'accepted_values' AS rule, COUNT(*) AS checked,
+         COUNT(*) FILTER (WHERE category IS NULL OR category NOT IN
+             ({", ".join(f"'{c}'" for c in sorted(STAR_CATEGORY_CODES.values()))})) AS failed
+  FROM seen
+  UNION ALL
+  SELECT 'expected_values_present', {len(STAR_CATEGORY_CODES)},
+         {len(STAR_CATEGORY_CODES)} - COUNT(*) FILTER (WHERE category IN
+             ({", ".join(f"'{c}'" for c in sorted(STAR_CATEGORY_CODES.values()))}))
+  FROM seen)
+SELECT rule, 'agg_profit_summary' AS subject, CAST(checked AS BIGINT) AS checked,
+       CAST(failed AS BIGINT) AS failed, failed = 0 AS passed
+FROM rules""",
+    "q_distinct_domain": STAR + "\nSELECT DISTINCT category FROM enriched_orders",
+})
+
+
+def _row_rules_sql(table: str, subject: str, keys: list[str],
+                   failing: dict[str, str]) -> tuple[str, str]:
+    """CTE text and SELECT list (rule, subject, checked, failed) for
+    ``quality.row_rules`` with a key."""
+    k = ", ".join(keys)
+    null_key = " OR ".join(f"{c} IS NULL" for c in keys)
+    f_cols = "".join(f",\n         COUNT(*) FILTER (WHERE {cond}) AS f{i}"
+                     for i, cond in enumerate(failing.values()))
+    sums = "".join(f", SUM(f{i}) AS f{i}" for i in range(len(failing)))
+    cte = f"""
+pk_{table} AS (
+  SELECT {k}, COUNT(*) AS n, COUNT(*) FILTER (WHERE {null_key}) AS nk{f_cols}
+  FROM {table} GROUP BY {k}),
+t_{table} AS (
+  SELECT COALESCE(SUM(n), 0) AS r, COUNT(*) AS keys, COUNT(*) FILTER (WHERE n > 1) AS dup,
+         SUM(nk) AS nk{sums}
+  FROM pk_{table})"""
+    sel = [
+        f"SELECT 'not_empty' AS rule, '{subject}' AS subject, r AS checked, "
+        f"CASE WHEN r = 0 THEN 1 ELSE 0 END AS failed FROM t_{table}",
+        f"SELECT 'unique_key', '{subject}', keys, dup FROM t_{table}",
+        f"SELECT 'null_key', '{subject}', r, nk FROM t_{table}",
+    ] + [f"SELECT '{name}', '{subject}', r, f{i} FROM t_{table}"
+         for i, name in enumerate(failing)]
+    return cte, "\nUNION ALL ".join(sel)
+
+
+def _rule_table(ctes: list[str], selects: list[str]) -> str:
+    return (STAR + "," + ",".join(ctes) + """
+SELECT rule, subject, CAST(COALESCE(checked, 0) AS BIGINT) AS checked,
+       CAST(COALESCE(failed, 0) AS BIGINT) AS failed, COALESCE(failed, 0) = 0 AS passed
+FROM (""" + "\nUNION ALL ".join(selects) + ") rules")
+
+
+_ENRICHED_FAILING = {
+    "null_category": "category IS NULL",
+    "null_sub_category": "sub_category IS NULL",
+    "unparsed_date": "order_date IS NULL OR ship_date IS NULL",
+    "unrounded_profit": "profit <> ROUND(profit, 2)",
+    "dirty_customer_name": "regexp_matches(customer_name, '[0-9@#$%^&*]')",
+    "year_out_of_range": "NOT (year(order_date) BETWEEN {lo} AND {hi})",
+    "unmatched_customer": "customer_name IS NULL",
+}
+
+
+def _quality_report_sql() -> str:
+    from tallyspark.plans.star import STAR_YEARS
+
+    failing = {k: v.format(lo=STAR_YEARS[0], hi=STAR_YEARS[1])
+               for k, v in _ENRICHED_FAILING.items()}
+    cte, sel = _row_rules_sql("enriched_orders", "enriched_orders",
+                              ["order_id", "line_number"], failing)
+    counts = """
+counts AS (
+  SELECT (SELECT COUNT(*) FROM raw_orders) AS l, (SELECT COUNT(*) FROM enriched_orders) AS r)"""
+    selects = [
+        sel,
+        "SELECT 'row_count_match', 'orders after joins', l, abs(l - r) FROM counts",
+        "SELECT 'required_columns', 'enriched_orders', 8, 0",
+        "SELECT 'column_types', 'enriched_orders', 2, 0",
+        f"SELECT 'column_naming', 'enriched_orders', {len(ENRICHED_COLUMNS)}, 0",
+    ]
+    return _rule_table([cte, counts], selects)
+
+
+def _raw_quality_sql() -> str:
+    ctes, selects = [], []
+    for table, keys in (("raw_customers", ["customer_id"]), ("raw_products", ["product_id"]),
+                        ("raw_orders", ["order_id", "line_number"])):
+        cte, sel = _row_rules_sql(table, table, keys, {})
+        ctes.append(cte)
+        selects.append(sel)
+    selects += [
+        "SELECT 'required_columns', 'raw_customers', 5, 0",
+        "SELECT 'required_columns', 'raw_products', 4, 0",
+        "SELECT 'required_columns', 'raw_orders', 6, 0",
+    ]
+    return _rule_table(ctes, selects)
+
+
+ORACLE["q_quality_report"] = _quality_report_sql()
+ORACLE["q_raw_quality"] = _raw_quality_sql()
+
+ORACLE["q_csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE["q_json_roundtrip"] = ORACLE["q_standardize_columns"]
+ORACLE["q_overwrite_idempotent"] = ORACLE["q_enrich_orders"]
+ORACLE["q_raw_layer"] = STAR + """
+SELECT 'raw_customers' AS "table", COUNT(*) AS "rows" FROM raw_customers
+UNION ALL SELECT 'raw_products', COUNT(*) FROM raw_products
+UNION ALL SELECT 'raw_orders', COUNT(*) FROM raw_orders"""

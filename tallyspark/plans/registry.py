@@ -1,17 +1,40 @@
 """Named queries: each takes (spark, sf_dir) and returns a lazy DataFrame
-over the whole driver tables."""
+over the whole driver tables (or data Spark derives from them).
+
+Names follow SURVEY §7.3; the inventory ids each one covers are noted."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallyspark.operators import aggregate as agg
+from tallyspark.operators import quality as qa
+from tallyspark.operators.keyed import duplicate_summary, remove_duplicate_keys
+from tallyspark.operators.transforms import (
+    cast_price_column,
+    clean_customer_name,
+    derive_category_from_product_id,
+    normalize_address,
+    parse_date_column,
+    round_profit,
+    standardize_column_names,
+    trim_string_columns,
+)
 from tallyspark.plans import layers, star
+from tallyspark.session import shared_dir
+from tallyspark.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ORDER_KEY = ("order_id", "line_number")
+ENRICHED_REQUIRED = ("order_id", "customer_id", "product_id", "profit", "customer_name",
+                     "country", "category", "sub_category")
+SUMMARY_REQUIRED = ("year", "category", "sub_category", "customer_name", "total_profit")
+
 
 def star_raw(spark: SparkSession, sf_dir: str) -> layers.Layer:
     return layers.raw_layer(star.sources(spark, sf_dir))
@@ -22,11 +45,255 @@ def star_enriched(spark: SparkSession, sf_dir: str) -> layers.Layer:
                                  star.STAR_SUB_CATEGORY_CODES)
 
 
-def q_profit_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source order line (before de-duplication), standard names."""
+    return standardize_column_names(star.order_source(spark, sf_dir))
+
+
+def _profit_as_double(df: DataFrame) -> DataFrame:
+    return df.withColumn("profit", F.col("profit").cast("double"))
+
+
+# --- P1, P2, C1: renames and trimming --------------------------------------
+
+def q_standardize_columns(spark, sf_dir):
+    """Display-style source names → lowercase_with_underscores."""
+    return _profit_as_double(order_lines(spark, sf_dir))
+
+
+def q_trim_strings(spark, sf_dir):
+    """Every string column of a space-padded customer export trimmed;
+    the bigint key is left alone."""
+    src = standardize_column_names(star.customer_source(spark, sf_dir))
+    padded = src.withColumns({f.name: F.concat(F.lit("  "), F.col(f.name), F.lit(" "))
+                              for f in src.schema.fields if isinstance(f.dataType, StringType)})
+    return trim_string_columns(padded)
+
+
+# --- C4-C8: row-local cleaning ----------------------------------------------
+
+def q_round_money(spark, sf_dir):
+    """Line profit rounded to cents."""
+    return (round_profit(order_lines(spark, sf_dir))
+            .select(*ORDER_KEY, F.col("profit").cast("double").alias("profit")))
+
+
+def q_parse_date(spark, sf_dir):
+    """d/M/yyyy text → date, NULL when malformed."""
+    out = parse_date_column(order_lines(spark, sf_dir), "order_date")
+    return parse_date_column(out, "ship_date").select(*ORDER_KEY, "order_date", "ship_date")
+
+
+def q_try_cast_price(spark, sf_dir):
+    """Price text → double; the shifted records become NULL."""
+    products = standardize_column_names(star.product_source(spark, sf_dir))
+    return cast_price_column(products).select("product_id", "price_per_product")
+
+
+def q_normalize_newlines(spark, sf_dir):
+    """C4 on whole documents: line feeds → ', '."""
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return normalize_address(docs, "text")
+
+
+def q_clean_name_documents(spark, sf_dir):
+    """C2, C3, C5 on whole documents: the four name-cleaning passes."""
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return clean_customer_name(docs, "text")
+
+
+def q_enriched_customers(spark, sf_dir):
+    """L2: customer names cleaned and addresses on one line."""
+    return star_enriched(spark, sf_dir).customers
+
+
+# --- W1, V1, V2: keyed operators and profiles -------------------------------
+
+def q_dedup_keep_one(spark, sf_dir):
+    """One row per (order_id, line_number): lowest price, then ship date."""
+    return _profit_as_double(remove_duplicate_keys(order_lines(spark, sf_dir), list(ORDER_KEY),
+                                                   order_by=["price", "ship_date"]))
+
+
+def q_duplicate_summary(spark, sf_dir):
+    """Order-line keys that occur more than once, with counts."""
+    return duplicate_summary(order_lines(spark, sf_dir), list(ORDER_KEY))
+
+
+def q_null_summary(spark, sf_dir):
+    """V1: NULLs per column of the enriched order lines."""
+    return qa.null_summary(star_enriched(spark, sf_dir).orders)
+
+
+# --- J1, J2, C9-C12, L4: enrichment -------------------------------------------
+
+def q_derive_code(spark, sf_dir):
+    """Category / sub-category after the product join, gaps decoded."""
+    return star_enriched(spark, sf_dir).orders.select(
+        *ORDER_KEY, "product_id", "category", "sub_category")
+
+
+def q_enrich_orders(spark, sf_dir):
+    """The denormalised order lines."""
+    return star_enriched(spark, sf_dir).orders
+
+
+# --- A1-A5, O1-O3: aggregates and reports ------------------------------------
+
+def q_profit_summary(spark, sf_dir):
+    """Profit by year, category, sub-category, customer name."""
+    return layers.aggregated_layer(star_enriched(spark, sf_dir).orders)
+
+
+def q_profit_by_year(spark, sf_dir):
+    """A2."""
     return agg.profit_by_year(star_enriched(spark, sf_dir).orders)
 
 
+def q_profit_by_year_category(spark, sf_dir):
+    """A3."""
+    return agg.profit_by_year_category(star_enriched(spark, sf_dir).orders)
+
+
+def q_profit_by_customer(spark, sf_dir):
+    """A4, O2."""
+    return agg.profit_by_customer(star_enriched(spark, sf_dir).orders)
+
+
+def q_profit_by_customer_year(spark, sf_dir):
+    """A5, O1."""
+    return agg.profit_by_customer_year(star_enriched(spark, sf_dir).orders)
+
+
+def q_top_n_groups(spark, sf_dir):
+    """O3, C17: the ten most profitable summary groups (keys break ties)."""
+    summary = q_profit_summary(spark, sf_dir)
+    return agg.top_n(summary, 10, [F.desc("total_profit"), *agg.SUMMARY_KEYS])
+
+
+# --- V3-V16, A8, A10, A11: quality rules ---------------------------------------
+
+def q_reconcile(spark, sf_dir):
+    """Enriched total profit equals the summary's total."""
+    enriched = star_enriched(spark, sf_dir).orders
+    return qa.money_totals(enriched, layers.aggregated_layer(enriched))
+
+
+def q_accepted_values(spark, sf_dir):
+    """V9: the summary's categories are exactly the catalog's six."""
+    summary = layers.aggregated_layer(star_enriched(spark, sf_dir).orders)
+    return qa.accepted_values(summary, "category", star.STAR_CATEGORIES, "agg_profit_summary")
+
+
+def q_distinct_domain(spark, sf_dir):
+    """A10: distinct categories of the enriched order lines."""
+    return star_enriched(spark, sf_dir).orders.select("category").distinct()
+
+
+def enriched_rules(raw_orders: DataFrame, enriched: DataFrame) -> DataFrame:
+    year = F.year("order_date")
+    lo, hi = star.STAR_YEARS
+    return qa.combine(
+        qa.row_rules(enriched, "enriched_orders", key=list(ORDER_KEY), failing={
+            "null_category": F.col("category").isNull(),
+            "null_sub_category": F.col("sub_category").isNull(),
+            "unparsed_date": F.col("order_date").isNull() | F.col("ship_date").isNull(),
+            "unrounded_profit": F.col("profit") != F.round("profit", 2),
+            "dirty_customer_name": F.col("customer_name").rlike("[0-9@#$%^&*]"),
+            "year_out_of_range": ~year.between(lo, hi),
+            "unmatched_customer": F.col("customer_name").isNull(),
+        }),
+        qa.row_count_match(raw_orders, enriched, "orders after joins"),
+        qa.required_columns_rule(enriched, ENRICHED_REQUIRED, "enriched_orders"),
+        qa.column_types_rule(enriched, {"order_date": "date", "ship_date": "date"},
+                             "enriched_orders"),
+        qa.column_naming_rule(enriched, "enriched_orders"),
+    )
+
+
+def q_quality_report(spark, sf_dir):
+    """The enriched layer's rule table."""
+    raw = star_raw(spark, sf_dir)
+    enriched = layers.enriched_layer(raw, star.STAR_CATEGORY_CODES,
+                                     star.STAR_SUB_CATEGORY_CODES).orders
+    return enriched_rules(raw.orders, enriched)
+
+
+def raw_rules(raw: layers.Layer) -> DataFrame:
+    return qa.combine(
+        qa.row_rules(raw.customers, "raw_customers", key="customer_id"),
+        qa.row_rules(raw.products, "raw_products", key="product_id"),
+        qa.row_rules(raw.orders, "raw_orders", key=list(ORDER_KEY)),
+        qa.required_columns_rule(raw.customers, ("customer_id", "customer_name", "segment",
+                                                 "country", "region"), "raw_customers"),
+        qa.required_columns_rule(raw.products, ("product_id", "category", "sub_category",
+                                                "product_name"), "raw_products"),
+        qa.required_columns_rule(raw.orders, ("order_id", "customer_id", "product_id",
+                                              "quantity", "price", "profit"), "raw_orders"),
+    )
+
+
+def q_raw_quality(spark, sf_dir):
+    """V3, V4, V5 on the three raw tables (the raw layer's gate)."""
+    return raw_rules(star_raw(spark, sf_dir))
+
+
+# --- S1-S9, L1: sources and sinks ---------------------------------------------
+
+DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Documents through a Latin-1 CSV with quoted newlines, read back
+    with an explicit schema and ``multiLine``."""
+    path = shared_dir(spark, "csv-roundtrip")
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source",
+                                                         "n_chars")
+    files.write_csv(docs, path, encoding="latin1")
+    return files.read_csv(spark, path, DOCUMENT_SCHEMA, multi_line=True, encoding="latin1")
+
+
+ORDER_SOURCE_SCHEMA = ("`Order ID` bigint, `Line Number` int, `Order Date` string, "
+                       "`Ship Date` string, `Customer ID` bigint, `Product ID` string, "
+                       "`Quantity` bigint, `Price` double, `Discount` double, "
+                       "`Profit` decimal(18,4)")
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """S3: order lines through line-delimited JSON, read back with an
+    explicit schema, then standardised (P1)."""
+    path = shared_dir(spark, "json-roundtrip")
+    files.write_json(star.order_source(spark, sf_dir), path)
+    back = files.read_json(spark, path, ORDER_SOURCE_SCHEMA)
+    return _profit_as_double(standardize_column_names(back))
+
+
+def q_overwrite_idempotent(spark, sf_dir):
+    """The enriched table written twice with overwrite reads
+    back as one copy."""
+    location = shared_dir(spark, "tables")
+    name = "enriched_orders_" + location.rsplit("-", 1)[-1][:12]
+    enriched = star_enriched(spark, sf_dir).orders
+    for _ in range(2):
+        tables.write_table(enriched, name, path=f"{location}/{name}")
+    return spark.table(name)
+
+
+def q_raw_layer(spark, sf_dir):
+    """L1: raw layer written after its gate; (table, rows) read back."""
+    raw = star_raw(spark, sf_dir)
+    qa.gate(raw_rules(raw))
+    location = shared_dir(spark, "raw")
+    suffix = location.rsplit("-", 1)[-1][:12]
+    written = tables.write_tables(
+        {f"{n}_{suffix}": df for n, df in raw.tables("raw").items()}, location_root=location)
+    counts = tables.read_back_counts(spark, list(written))
+    return counts.withColumn("table", F.regexp_replace("table", f"_{suffix}$", ""))
+
+
 QUERIES: dict[str, Query] = {
-    "q_profit_by_year": q_profit_by_year,
+    name: fn for name, fn in sorted(globals().items())
+    if name.startswith("q_") and callable(fn)
 }
-FLAGSHIP = "q_profit_by_year"
+
+FLAGSHIP = "q_profit_summary"
