@@ -14,6 +14,8 @@ DEFAULT_DATE_FORMAT = "d/M/yyyy"
 # Money is carried as decimal so sums and rounding are exact and do not depend
 # on the order rows arrive in; 18 digits hold any order-line amount.
 MONEY_PRECISION = 18
+# Places kept while summing amounts; totals are rounded once at the end.
+SUM_SCALE = 6
 
 
 def _col(c: str | Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.parsing import money
+from tallyspark.functions.parsing import SUM_SCALE, money
 
 
 def _col(c: str | Column) -> Column:
@@ -15,11 +15,12 @@ def _col(c: str | Column) -> Column:
 
 
 def money_total(c: str | Column, scale: int = 2) -> Column:
-    """Exact sum of an amount, rounded to ``scale`` places, returned as double.
+    """Sum of an amount, rounded once to ``scale`` places, returned as double.
 
-    Amounts are summed as decimals, so the total does not depend on the order
-    partial sums are combined in (a double sum does)."""
-    return F.round(F.sum(money(c, scale)), scale).cast("double")
+    Amounts are summed as decimals (``SUM_SCALE`` places, so inputs are not
+    rounded row by row), which makes the total independent of the order in
+    which partial sums are combined; a double sum is not."""
+    return F.round(F.sum(money(c, SUM_SCALE)), scale).cast("double")
 
 
 def summarize(df: DataFrame, keys: Sequence[str | Column],

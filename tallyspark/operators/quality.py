@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.names import standardized_name
-from tallyspark.functions.parsing import money
+from tallyspark.functions.parsing import SUM_SCALE, money
 from tallyspark.operators.keyed import KeySpec, duplicate_summary, key_list
 
 RULE_SCHEMA = "rule string, subject string, checked bigint, failed bigint, passed boolean"
@@ -105,8 +105,8 @@ def money_totals(source: DataFrame, agg: DataFrame, source_col: str = "profit",
                  agg_col: str = "total_profit", scale: int = 2) -> DataFrame:
     """One row: both totals (exact decimal sums rounded to ``scale``, as
     double) and whether they agree. Both NULL (two empty tables) agree."""
-    totals = _side_totals(source, agg, F.round(F.sum(money(source_col, scale)), scale),
-                          F.round(F.sum(money(agg_col, scale)), scale))
+    totals = _side_totals(source, agg, F.round(F.sum(money(source_col, SUM_SCALE)), scale),
+                          F.round(F.sum(money(agg_col, SUM_SCALE)), scale))
     return totals.select(
         F.col("_l").cast("double").alias("source_total"),
         F.col("_r").cast("double").alias("aggregate_total"),

@@ -117,7 +117,7 @@ STAR = "WITH " + ",".join([RAW_CUSTOMERS, RAW_PRODUCTS, ORDER_LINES, RAW_ORDERS,
 
 
 def money_total_sql(c: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(18,2))), 2) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(18,6))), 2) AS DOUBLE)"
 
 
 ORACLE: dict[str, str] = {}
@@ -187,8 +187,8 @@ ORDER BY total_profit DESC NULLS LAST, year NULLS FIRST, category NULLS FIRST,
 LIMIT 10""",
     "q_reconcile": SUMMARY + """,
 totals AS (
-  SELECT (SELECT ROUND(SUM(CAST(profit AS DECIMAL(18,2))), 2) FROM enriched_orders) AS s,
-         (SELECT ROUND(SUM(CAST(total_profit AS DECIMAL(18,2))), 2) FROM summary) AS a)
+  SELECT (SELECT ROUND(SUM(CAST(profit AS DECIMAL(18,6))), 2) FROM enriched_orders) AS s,
+         (SELECT ROUND(SUM(CAST(total_profit AS DECIMAL(18,6))), 2) FROM summary) AS a)
 SELECT CAST(s AS DOUBLE) AS source_total, CAST(a AS DOUBLE) AS aggregate_total,
        s IS NOT DISTINCT FROM a AS matched
 FROM totals""",

@@ -1,0 +1,98 @@
+"""Aggregates and reports."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tallyspark.operators import aggregate as agg
+from tallyspark.operators.quality import assert_profit_reconciliation
+from tests.conftest import ENRICHED_SCHEMA
+
+
+class TestProfitSummary:
+    def test_years(self, enriched_small):
+        out = agg.profit_summary(enriched_small)
+        assert sorted({r["year"] for r in out.collect()}) == [2015, 2016]
+        assert dict(out.dtypes)["year"] == "int"
+
+    def test_groups(self, enriched_small):
+        assert agg.profit_summary(enriched_small).count() == 4
+
+    def test_values(self, enriched_small):
+        rows = {(r["year"], r["customer_name"]): r
+                for r in agg.profit_summary(enriched_small).collect()}
+        mia = rows[(2015, "Mia Lindqvist")]
+        assert (mia["total_profit"], mia["order_count"], mia["total_revenue"]) == (7.75, 2, 140.0)
+        assert rows[(2016, "Oliver Brandt")]["total_profit"] == -20.0
+
+    def test_total_reconciles(self, enriched_small):
+        out = agg.profit_summary(enriched_small)
+        assert_profit_reconciliation(enriched_small, out)
+        total = out.agg(F.sum("total_profit")).first()[0]
+        assert round(total, 2) == 87.75
+
+    def test_order_count_counts_non_null_ids(self, spark):
+        rows = [(None, dt.date(2015, 1, 1), "C", "N", "X", "Y", 1.0, 1.0),
+                ("A", dt.date(2015, 1, 1), "C", "N", "X", "Y", 1.0, 1.0)]
+        out = agg.profit_summary(spark.createDataFrame(rows, ENRICHED_SCHEMA)).first()
+        assert out["order_count"] == 1 and out["total_profit"] == 2.0
+
+    def test_columns(self, enriched_small):
+        assert agg.profit_summary(enriched_small).columns == [
+            "year", "category", "sub_category", "customer_name", "total_profit",
+            "order_count", "total_revenue"]
+
+    def test_ordered(self, enriched_small):
+        rows = agg.profit_summary(enriched_small, ordered=True).collect()
+        keys = [(r["year"], r["category"], r["sub_category"], r["customer_name"]) for r in rows]
+        assert keys == sorted(keys)
+
+    def test_empty(self, spark):
+        assert agg.profit_summary(spark.createDataFrame([], ENRICHED_SCHEMA)).count() == 0
+
+    def test_single_row(self, spark):
+        rows = [("Z", dt.date(2020, 5, 5), "C", "Solo", "Technology", "Phones", 99.99, 5.0)]
+        out = agg.profit_summary(spark.createDataFrame(rows, ENRICHED_SCHEMA)).first()
+        assert (out["year"], out["total_profit"], out["order_count"]) == (2020, 99.99, 1)
+
+    def test_exact_money_sum(self, spark):
+        # 0.1 + 0.2 summed as doubles is 0.30000000000000004
+        rows = [(str(i), dt.date(2015, 1, 1), "C", "N", "X", "Y", v, v)
+                for i, v in enumerate([0.1, 0.2, 0.005, 0.005])]
+        out = agg.profit_summary(spark.createDataFrame(rows, ENRICHED_SCHEMA)).first()
+        assert out["total_profit"] == 0.31
+
+    def test_partial_aggregation_in_plan(self, enriched_small):
+        plan = agg.profit_summary(enriched_small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("HashAggregate") >= 2
+
+
+class TestReports:
+    def test_by_year(self, enriched_small):
+        rows = [tuple(r) for r in agg.profit_by_year(enriched_small).collect()]
+        assert rows == [(2015, 107.74, 3), (2016, -19.99, 2)]
+
+    def test_by_year_category(self, enriched_small):
+        rows = agg.profit_by_year_category(enriched_small).collect()
+        assert [(r["year"], r["category"]) for r in rows] == [
+            (2015, "Furniture"), (2015, "Technology"), (2016, "Furniture"),
+            (2016, "Office Supplies")]
+
+    def test_by_customer_descending(self, enriched_small):
+        rows = agg.profit_by_customer(enriched_small).collect()
+        assert [r["customer_id"] for r in rows] == ["C2", "C1", "C3"]
+        assert rows[0]["total_profit"] == 79.99
+
+    def test_by_customer_year(self, enriched_small):
+        rows = agg.profit_by_customer_year(enriched_small).collect()
+        assert [(r["customer_name"], r["year"]) for r in rows] == [
+            ("Mia Lindqvist", 2015), ("Nora Ek", 2016), ("Oliver Brandt", 2015),
+            ("Oliver Brandt", 2016)]
+
+    def test_top_n(self, enriched_small):
+        out = agg.top_n(agg.profit_summary(enriched_small), 2, [F.desc("total_profit")])
+        assert [r["total_profit"] for r in out.collect()] == [99.99, 7.75]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan
