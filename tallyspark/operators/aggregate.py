@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.parsing import SUM_SCALE, money
+from tallyspark.functions.parsing import MONEY_PRECISION, SUM_SCALE, money
 
 
 def _col(c: str | Column) -> Column:
@@ -77,18 +77,50 @@ def profit_report(enriched: DataFrame, by: Sequence[str], order_by: Sequence[str
     return summarize(base, list(by), profit_measures(), order_by=order_by)
 
 
+# The four reports: grouping columns and ordering ("-" = descending).
+REPORT_SPECS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "profit_by_year": (("year",), ("year",)),
+    "profit_by_year_category": (("year", "category"), ("year", "category")),
+    "profit_by_customer": (("customer_id", "customer_name"), ("-total_profit",)),
+    "profit_by_customer_year": (("customer_id", "customer_name", "year"),
+                                ("customer_name", "year")),
+}
+
+
+def _order(spec: tuple[str, ...]) -> list[Column]:
+    return [F.desc(o[1:]) if o.startswith("-") else F.col(o) for o in spec]
+
+
+def report(enriched: DataFrame, name: str) -> DataFrame:
+    by, order = REPORT_SPECS[name]
+    return profit_report(enriched, by, _order(order))
+
+
+def report_sql(view: str, name: str, date_column: str = "order_date") -> str:
+    """The same report as SQL text over a table or view (``spark.sql``)."""
+    by, order = REPORT_SPECS[name]
+    year = f"YEAR({date_column})"
+    dims = [f"{year} AS year" if b == "year" else b for b in by]
+    groups = [year if b == "year" else b for b in by]
+    orders = [f"{o[1:]} DESC" if o.startswith("-") else o for o in order]
+    return (f"SELECT {', '.join(dims)},\n"
+            f"       CAST(ROUND(SUM(CAST(profit AS DECIMAL({MONEY_PRECISION},{SUM_SCALE}))), 2)"
+            f" AS DOUBLE) AS total_profit,\n"
+            f"       COUNT(*) AS order_count\n"
+            f"FROM {view}\nGROUP BY {', '.join(groups)}\nORDER BY {', '.join(orders)}")
+
+
 def profit_by_year(enriched: DataFrame) -> DataFrame:
-    return profit_report(enriched, ["year"], ["year"])
+    return report(enriched, "profit_by_year")
 
 
 def profit_by_year_category(enriched: DataFrame) -> DataFrame:
-    return profit_report(enriched, ["year", "category"], ["year", "category"])
+    return report(enriched, "profit_by_year_category")
 
 
 def profit_by_customer(enriched: DataFrame) -> DataFrame:
-    return profit_report(enriched, ["customer_id", "customer_name"], [F.desc("total_profit")])
+    return report(enriched, "profit_by_customer")
 
 
 def profit_by_customer_year(enriched: DataFrame) -> DataFrame:
-    return profit_report(enriched, ["customer_id", "customer_name", "year"],
-                         ["customer_name", "year"])
+    return report(enriched, "profit_by_customer_year")

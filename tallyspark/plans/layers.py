@@ -121,3 +121,8 @@ REPORTS = {
 
 def reports(enriched: DataFrame) -> dict[str, DataFrame]:
     return {name: build(enriched) for name, build in REPORTS.items()}
+
+
+def sql_reports(spark, table: str) -> dict[str, DataFrame]:
+    """The reports as SQL over a stored table or a view."""
+    return {name: spark.sql(agg.report_sql(table, name)) for name in REPORTS}

@@ -301,3 +301,9 @@ ORACLE["q_raw_layer"] = STAR + """
 SELECT 'raw_customers' AS "table", COUNT(*) AS "rows" FROM raw_customers
 UNION ALL SELECT 'raw_products', COUNT(*) FROM raw_products
 UNION ALL SELECT 'raw_orders', COUNT(*) FROM raw_orders"""
+
+for _name in ("profit_by_year", "profit_by_year_category", "profit_by_customer",
+              "profit_by_customer_year"):
+    ORACLE[f"q_sql_{_name}"] = ORACLE[f"q_{_name}"]
+
+ORACLE["q_csv_products_raw"] = STAR + "\nSELECT * FROM raw_products"

@@ -5,6 +5,7 @@ Names follow SURVEY §7.3; the inventory ids each one covers are noted."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -165,6 +166,33 @@ def q_profit_by_customer_year(spark, sf_dir):
     return agg.profit_by_customer_year(star_enriched(spark, sf_dir).orders)
 
 
+def _sql_report(spark, sf_dir, name):
+    """The report as SQL text over a view of the enriched lines."""
+    view = f"enriched_orders_{uuid.uuid4().hex[:12]}"
+    star_enriched(spark, sf_dir).orders.createOrReplaceTempView(view)
+    return spark.sql(agg.report_sql(view, name))
+
+
+def q_sql_profit_by_year(spark, sf_dir):
+    """A2 in SQL."""
+    return _sql_report(spark, sf_dir, "profit_by_year")
+
+
+def q_sql_profit_by_year_category(spark, sf_dir):
+    """A3 in SQL."""
+    return _sql_report(spark, sf_dir, "profit_by_year_category")
+
+
+def q_sql_profit_by_customer(spark, sf_dir):
+    """A4 in SQL."""
+    return _sql_report(spark, sf_dir, "profit_by_customer")
+
+
+def q_sql_profit_by_customer_year(spark, sf_dir):
+    """A5 in SQL."""
+    return _sql_report(spark, sf_dir, "profit_by_customer_year")
+
+
 def q_top_n_groups(spark, sf_dir):
     """O3, C17: the ten most profitable summary groups (keys break ties)."""
     summary = q_profit_summary(spark, sf_dir)
@@ -253,6 +281,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, DOCUMENT_SCHEMA, multi_line=True, encoding="latin1")
 
 
+PRODUCT_SOURCE_SCHEMA = ("`Product ID` string, `Category` string, `Sub-Category` string, "
+                         "`Product Name` string, `Price per product` string")
+
+
+def q_csv_products_raw(spark, sf_dir):
+    """The product source through a plain (splittable) CSV, read back
+    with an explicit schema and given the raw-layer treatment."""
+    path = shared_dir(spark, "csv-products")
+    files.write_csv(star.product_source(spark, sf_dir), path)
+    back = files.read_csv(spark, path, PRODUCT_SOURCE_SCHEMA)
+    return layers.standardize(back, layers.DEFAULT_SPECS["products"])
+
+
 ORDER_SOURCE_SCHEMA = ("`Order ID` bigint, `Line Number` int, `Order Date` string, "
                        "`Ship Date` string, `Customer ID` bigint, `Product ID` string, "
                        "`Quantity` bigint, `Price` double, `Discount` double, "
@@ -269,13 +310,15 @@ def q_json_roundtrip(spark, sf_dir):
 
 
 def q_overwrite_idempotent(spark, sf_dir):
-    """The enriched table written twice with overwrite reads
-    back as one copy."""
+    """The enriched table written twice with overwrite into
+    a database of its own reads back as one copy."""
     location = shared_dir(spark, "tables")
-    name = "enriched_orders_" + location.rsplit("-", 1)[-1][:12]
+    database = tables.create_database(spark, "sales_" + location.rsplit("-", 1)[-1][:12],
+                                      location)
+    name = f"{database}.enriched_orders"
     enriched = star_enriched(spark, sf_dir).orders
     for _ in range(2):
-        tables.write_table(enriched, name, path=f"{location}/{name}")
+        tables.write_table(enriched, name)
     return spark.table(name)
 
 

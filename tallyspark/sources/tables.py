@@ -14,6 +14,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def create_database(spark: SparkSession, name: str, location: str | None = None,
+                    use: bool = False) -> str:
+    """``CREATE DATABASE IF NOT EXISTS`` (at a shared ``location``); with
+    ``use=True`` it also becomes the session's current database."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
+    if use:
+        spark.catalog.setCurrentDatabase(name)
+    return name
+
+
 def write_table(df: DataFrame, name: str, *, path: str | None = None, fmt: str | None = None,
                 partition_by: Sequence[str] | None = None) -> int:
     """Replace table ``name`` with ``df``; returns the rows written.
