@@ -334,6 +334,25 @@ def q_raw_layer(spark, sf_dir):
     return counts.withColumn("table", F.regexp_replace("table", f"_{suffix}$", ""))
 
 
+def q_stream_enriched_orders(spark, sf_dir):
+    """Extension: the order-line source lands as NDJSON files and is ingested
+    by a Structured Streaming query (raw → enriched) until caught up. One row
+    per order line, like the batch layer; the surviving copy of a duplicated
+    line is the first to arrive, so only the rows are comparable."""
+    from tallyspark.streaming import ingest
+
+    base = shared_dir(spark, "stream")
+    files.write_json(star.order_source(spark, sf_dir), f"{base}/landing")
+    raw = star_raw(spark, sf_dir)
+    enriched = layers.enriched_layer(raw, star.STAR_CATEGORY_CODES, star.STAR_SUB_CATEGORY_CODES)
+    stream = ingest.enriched_order_stream(
+        ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA),
+        enriched.customers, enriched.products,
+        star.STAR_CATEGORY_CODES, star.STAR_SUB_CATEGORY_CODES)
+    ingest.run_available(stream, f"{base}/enriched", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/enriched").drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

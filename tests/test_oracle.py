@@ -12,11 +12,16 @@ QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
 
 
+# Streaming ingestion keeps the first-arriving copy of a duplicated line, so
+# it is checked against the batch layer in test_streaming instead.
+NO_SQL_TWIN = {"q_stream_enriched_orders"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - NO_SQL_TWIN == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_SQL_TWIN))
 def test_matches_duckdb(spark, sf_dir, duck, name):
     sdf = QUERIES[name](spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
