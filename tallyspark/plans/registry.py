@@ -91,15 +91,19 @@ def q_try_cast_price(spark, sf_dir):
     return cast_price_column(products).select("product_id", "price_per_product")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.spread(star.table(spark, sf_dir, "documents"), "doc_id")
+
+
 def q_normalize_newlines(spark, sf_dir):
     """C4 on whole documents: line feeds → ', '."""
-    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return normalize_address(docs, "text")
 
 
 def q_clean_name_documents(spark, sf_dir):
     """C2, C3, C5 on whole documents: the four name-cleaning passes."""
-    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return clean_customer_name(docs, "text")
 
 
