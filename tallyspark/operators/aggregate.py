@@ -77,13 +77,15 @@ def profit_report(enriched: DataFrame, by: Sequence[str], order_by: Sequence[str
     return summarize(base, list(by), profit_measures(), order_by=order_by)
 
 
-# The four reports: grouping columns and ordering ("-" = descending).
+# The four reports: grouping columns and ordering ("-" = descending). The
+# customer reports end with customer_id so namesakes and equal totals come
+# out in a fixed order.
 REPORT_SPECS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "profit_by_year": (("year",), ("year",)),
     "profit_by_year_category": (("year", "category"), ("year", "category")),
-    "profit_by_customer": (("customer_id", "customer_name"), ("-total_profit",)),
+    "profit_by_customer": (("customer_id", "customer_name"), ("-total_profit", "customer_id")),
     "profit_by_customer_year": (("customer_id", "customer_name", "year"),
-                                ("customer_name", "year")),
+                                ("customer_name", "year", "customer_id")),
 }
 
 

@@ -175,11 +175,11 @@ FROM enriched_orders GROUP BY ALL ORDER BY year, category""",
     "q_profit_by_customer": STAR + f"""
 SELECT customer_id, customer_name, {money_total_sql('profit')} AS total_profit,
        COUNT(*) AS order_count
-FROM enriched_orders GROUP BY ALL ORDER BY total_profit DESC""",
+FROM enriched_orders GROUP BY ALL ORDER BY total_profit DESC, customer_id""",
     "q_profit_by_customer_year": STAR + f"""
 SELECT customer_id, customer_name, CAST(year(order_date) AS INTEGER) AS year,
        {money_total_sql('profit')} AS total_profit, COUNT(*) AS order_count
-FROM enriched_orders GROUP BY ALL ORDER BY customer_name, year""",
+FROM enriched_orders GROUP BY ALL ORDER BY customer_name, year, customer_id""",
     "q_top_n_groups": SUMMARY + """
 SELECT * FROM summary
 ORDER BY total_profit DESC NULLS LAST, year NULLS FIRST, category NULLS FIRST,
