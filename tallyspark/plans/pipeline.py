@@ -1,6 +1,10 @@
-"""The layered pipeline as a production job: each layer is gated, then
-written as tables, and the next layer reads the stored tables (as the
-reference's notebooks do). Reports read the stored enriched table once each.
+"""The layered pipeline as a production job.
+
+Each layer is computed once: written to a new version folder, gated on the
+stored rows, then published as the layer's tables (``tables.publish_tables``).
+The next layer reads the published tables, so lineage is cut at every layer
+and a lost executor only ever recomputes work inside one layer. Reports read
+the stored enriched table.
 """
 
 from __future__ import annotations
@@ -28,36 +32,54 @@ def run(spark: SparkSession, sf_dir: str, location: str | None = None,
     name = lambda n: f"{n}{suffix}"
     written: dict[str, int] = {}
 
-    # raw layer: gate on keys and required columns, then write
+    # raw layer: keys unique, required columns present
     raw = layers.raw_layer(star.sources(spark, sf_dir))
-    qa.gate(registry.raw_rules(raw))
-    written |= tables.write_tables({name(k): v for k, v in raw.tables("raw").items()},
-                                   location_root=location)
-    stored = layers.Layer(spark.table(name("raw_customers")), spark.table(name("raw_products")),
-                          spark.table(name("raw_orders")))
+    raw_names = {k: name(k) for k in raw.tables("raw")}
+
+    def raw_gate(staged: dict[str, DataFrame]) -> None:
+        s = {k: staged[v] for k, v in raw_names.items()}
+        qa.gate(registry.raw_rules(layers.Layer(s["raw_customers"], s["raw_products"],
+                                                s["raw_orders"])))
 
-    # enriched layer over the stored raw tables
+    written |= tables.publish_tables(
+        spark, {raw_names[k]: v for k, v in raw.tables("raw").items()}, location, raw_gate)
+    stored = layers.Layer(*(spark.table(raw_names[k]) for k in
+                            ("raw_customers", "raw_products", "raw_orders")))
+
+    # enriched layer over the stored raw tables: no order lost, all categories resolved
     enriched = layers.enriched_layer(stored, star.STAR_CATEGORY_CODES,
                                      star.STAR_SUB_CATEGORY_CODES)
-    qa.gate(qa.combine(
-        qa.row_rules(enriched.orders, "enriched_orders",
-                     {"null_category": enriched.orders["category"].isNull()}),
-        qa.row_count_match(stored.orders, enriched.orders, "orders after joins"),
-        qa.required_columns_rule(enriched.orders, registry.ENRICHED_REQUIRED, "enriched_orders"),
-    ))
-    written |= tables.write_tables({name(k): v for k, v in enriched.tables("enriched").items()},
-                                   location_root=location)
-    enriched_orders = spark.table(name("enriched_orders"))
-
-    # aggregated layer
-    summary = layers.aggregated_layer(enriched_orders)
-    written |= tables.write_tables({name("agg_profit_summary"): summary},
-                                   location_root=location)
-    stored_summary = spark.table(name("agg_profit_summary"))
-    qa.gate(qa.combine(
-        qa.reconciliation_rule(enriched_orders, stored_summary, "agg_profit_summary"),
-        qa.required_columns_rule(stored_summary, registry.SUMMARY_REQUIRED, "agg_profit_summary"),
-        qa.accepted_values(stored_summary, "category", star.STAR_CATEGORIES,
-                           "agg_profit_summary"),
-    ))
+    enriched_names = {k: name(k) for k in enriched.tables("enriched")}
+
+    def enriched_gate(staged: dict[str, DataFrame]) -> None:
+        orders = staged[enriched_names["enriched_orders"]]
+        qa.gate(qa.combine(
+            qa.row_rules(orders, "enriched_orders",
+                         {"null_category": orders["category"].isNull()}),
+            qa.row_count_match(stored.orders, orders, "orders after joins"),
+            qa.row_count_match(stored.customers, staged[enriched_names["enriched_customers"]],
+                               "customers"),
+            qa.row_count_match(stored.products, staged[enriched_names["enriched_products"]],
+                               "products"),
+            qa.required_columns_rule(orders, registry.ENRICHED_REQUIRED, "enriched_orders"),
+        ))
+
+    written |= tables.publish_tables(
+        spark, {enriched_names[k]: v for k, v in enriched.tables("enriched").items()},
+        location, enriched_gate)
+    enriched_orders = spark.table(enriched_names["enriched_orders"])
+
+    # aggregated layer: totals reconcile, categories exactly the catalog's
+    summary_name = name("agg_profit_summary")
+
+    def summary_gate(staged: dict[str, DataFrame]) -> None:
+        summary = staged[summary_name]
+        qa.gate(qa.combine(
+            qa.reconciliation_rule(enriched_orders, summary, "agg_profit_summary"),
+            qa.required_columns_rule(summary, registry.SUMMARY_REQUIRED, "agg_profit_summary"),
+            qa.accepted_values(summary, "category", star.STAR_CATEGORIES, "agg_profit_summary"),
+        ))
+
+    written |= tables.publish_tables(
+        spark, {summary_name: layers.aggregated_layer(enriched_orders)}, location, summary_gate)
     return PipelineRun(written, layers.reports(enriched_orders), location)

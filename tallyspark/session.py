@@ -50,12 +50,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder of our own and register it, so lineage cuts and scratch writes
     always land where every executor can read them.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the conf is all there is
+        sc = None
+    root = root or (sc.getCheckpointDir() if sc else None)
     if not root:
         # Unset: local runs and tests only. A cluster always names a shared one.
         root = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 

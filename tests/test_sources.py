@@ -77,3 +77,26 @@ def test_overwrite_is_idempotent(spark):
     counts = {r["table"]: r["rows"] for r in tables.read_back_counts(spark, ["t_idem"]).collect()}
     assert counts == {"t_idem": 5}
     assert os.path.isdir(location.replace("file:", ""))
+
+
+def test_publish_gates_on_stored_rows_and_keeps_old_table_on_failure(spark):
+    import pytest
+
+    from tallyspark.operators import quality as qa
+
+    root = shared_dir(spark, "t-publish")
+    good = spark.range(4).selectExpr("id", "id % 2 AS k")
+    assert tables.publish_tables(spark, {"t_pub": good}, root) == {"t_pub": 4}
+    assertDataFrameEqual(spark.table("t_pub"), good)
+
+    seen = {}
+
+    def gate(staged):
+        seen.update(staged)
+        qa.gate(qa.row_rules(staged["t_pub"], "t_pub", key="k"))  # k repeats: fails
+
+    with pytest.raises(AssertionError, match="unique_key"):
+        tables.publish_tables(spark, {"t_pub": spark.range(6).selectExpr("id", "id % 3 AS k")},
+                              root, gate)
+    assert seen["t_pub"].count() == 6          # the gate saw the stored new version
+    assertDataFrameEqual(spark.table("t_pub"), good)  # the published table did not change
