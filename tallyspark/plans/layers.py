@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from tallyspark.functions.codes import REFERENCE_CATEGORY_CODES, REFERENCE_SUB_CATEGORY_CODES
 from tallyspark.operators import aggregate as agg
+from tallyspark.operators import quality as qa
 from tallyspark.operators.enrich import Dimension, enrich
 from tallyspark.operators.keyed import KeySpec, remove_duplicate_keys
 from tallyspark.operators.transforms import (
@@ -41,6 +42,42 @@ DEFAULT_SPECS = {
     "products": SourceSpec("product_id"),
     "orders": SourceSpec(("order_id", "line_number"), ("price", "ship_date")),
 }
+# The reference's own files key order lines by row_id.
+REFERENCE_FILE_SPECS = {
+    "customers": SourceSpec("customer_id"),
+    "products": SourceSpec("product_id"),
+    "orders": SourceSpec("row_id"),
+}
+
+# Columns each layer must carry (checked on the schema, no job).
+RAW_REQUIRED = {
+    "customers": ("customer_id", "customer_name", "segment", "country", "region"),
+    "products": ("product_id", "category", "sub_category", "product_name"),
+    "orders": ("order_id", "customer_id", "product_id", "quantity", "price", "profit"),
+}
+ENRICHED_REQUIRED = ("order_id", "customer_id", "product_id", "profit", "customer_name",
+                     "country", "category", "sub_category")
+SUMMARY_REQUIRED = ("year", "category", "sub_category", "customer_name", "total_profit")
+
+
+@dataclass(frozen=True)
+class SalesConfig:
+    """What differs between data sets: keys, code tables, the year range."""
+
+    specs: Mapping[str, SourceSpec]
+    category_codes: Mapping[str, str]
+    sub_category_codes: Mapping[str, str]
+    years: tuple[int, int] | None = None
+
+    @property
+    def categories(self) -> list[str]:
+        return sorted(set(self.category_codes.values()))
+
+
+# The reference data's order years.
+REFERENCE_YEARS = (2014, 2017)
+REFERENCE_CONFIG = SalesConfig(REFERENCE_FILE_SPECS, REFERENCE_CATEGORY_CODES,
+                               REFERENCE_SUB_CATEGORY_CODES, REFERENCE_YEARS)
 
 
 @dataclass(frozen=True)
@@ -68,6 +105,16 @@ def raw_layer(src: Sources, specs: Mapping[str, SourceSpec] = DEFAULT_SPECS) ->
     )
 
 
+def raw_rules(raw: Layer, specs: Mapping[str, SourceSpec] = DEFAULT_SPECS) -> DataFrame:
+    """The raw layer's gate: every table non-empty, keys unique and not NULL,
+    required columns present."""
+    frames = {"customers": raw.customers, "products": raw.products, "orders": raw.orders}
+    return qa.combine(
+        *[qa.row_rules(df, f"raw_{n}", key=specs[n].key) for n, df in frames.items()],
+        *[qa.required_columns_rule(df, RAW_REQUIRED[n], f"raw_{n}") for n, df in frames.items()],
+    )
+
+
 def enriched_customers(raw_customers: DataFrame) -> DataFrame:
     return normalize_address(clean_customer_name(raw_customers))
 

@@ -5,6 +5,10 @@ stored rows, then published as the layer's tables (``tables.publish_tables``).
 The next layer reads the published tables, so lineage is cut at every layer
 and a lost executor only ever recomputes work inside one layer. Reports read
 the stored enriched table.
+
+``run_layers`` takes any three sources (``landing.reference_files`` for the
+reference's CSV/JSON files, ``star.sources`` for the driver tables) and a
+``layers.SalesConfig`` with their keys and code tables.
 """
 
 from __future__ import annotations
@@ -14,10 +18,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.operators import quality as qa
-from tallyspark.plans import layers, registry, star
+from tallyspark.plans import layers, star
 from tallyspark.session import shared_dir
 from tallyspark.sources import tables
 
+RAW = ("raw_customers", "raw_products", "raw_orders")
+
 
 @dataclass
 class PipelineRun:
@@ -26,60 +32,58 @@ class PipelineRun:
     location: str
 
 
-def run(spark: SparkSession, sf_dir: str, location: str | None = None,
-        suffix: str = "") -> PipelineRun:
+def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
+               location: str | None = None, suffix: str = "") -> PipelineRun:
     location = location or shared_dir(spark, "pipeline")
     name = lambda n: f"{n}{suffix}"
     written: dict[str, int] = {}
 
-    # raw layer: keys unique, required columns present
-    raw = layers.raw_layer(star.sources(spark, sf_dir))
-    raw_names = {k: name(k) for k in raw.tables("raw")}
+    # raw layer: keys unique and present, required columns present
+    raw = layers.raw_layer(src, cfg.specs)
 
     def raw_gate(staged: dict[str, DataFrame]) -> None:
-        s = {k: staged[v] for k, v in raw_names.items()}
-        qa.gate(registry.raw_rules(layers.Layer(s["raw_customers"], s["raw_products"],
-                                                s["raw_orders"])))
+        qa.gate(layers.raw_rules(layers.Layer(*(staged[name(n)] for n in RAW)), cfg.specs))
 
     written |= tables.publish_tables(
-        spark, {raw_names[k]: v for k, v in raw.tables("raw").items()}, location, raw_gate)
-    stored = layers.Layer(*(spark.table(raw_names[k]) for k in
-                            ("raw_customers", "raw_products", "raw_orders")))
+        spark, {name(k): v for k, v in raw.tables("raw").items()}, location, raw_gate)
+    stored = layers.Layer(*(spark.table(name(n)) for n in RAW))
 
-    # enriched layer over the stored raw tables: no order lost, all categories resolved
-    enriched = layers.enriched_layer(stored, star.STAR_CATEGORY_CODES,
-                                     star.STAR_SUB_CATEGORY_CODES)
-    enriched_names = {k: name(k) for k in enriched.tables("enriched")}
+    # enriched layer over the stored raw tables: no row lost, every category resolved
+    enriched = layers.enriched_layer(stored, cfg.category_codes, cfg.sub_category_codes)
 
     def enriched_gate(staged: dict[str, DataFrame]) -> None:
-        orders = staged[enriched_names["enriched_orders"]]
+        orders = staged[name("enriched_orders")]
         qa.gate(qa.combine(
             qa.row_rules(orders, "enriched_orders",
                          {"null_category": orders["category"].isNull()}),
             qa.row_count_match(stored.orders, orders, "orders after joins"),
-            qa.row_count_match(stored.customers, staged[enriched_names["enriched_customers"]],
-                               "customers"),
-            qa.row_count_match(stored.products, staged[enriched_names["enriched_products"]],
-                               "products"),
-            qa.required_columns_rule(orders, registry.ENRICHED_REQUIRED, "enriched_orders"),
+            qa.row_count_match(stored.customers, staged[name("enriched_customers")], "customers"),
+            qa.row_count_match(stored.products, staged[name("enriched_products")], "products"),
+            qa.required_columns_rule(orders, layers.ENRICHED_REQUIRED, "enriched_orders"),
         ))
 
     written |= tables.publish_tables(
-        spark, {enriched_names[k]: v for k, v in enriched.tables("enriched").items()},
-        location, enriched_gate)
-    enriched_orders = spark.table(enriched_names["enriched_orders"])
+        spark, {name(k): v for k, v in enriched.tables("enriched").items()}, location,
+        enriched_gate)
+    enriched_orders = spark.table(name("enriched_orders"))
 
-    # aggregated layer: totals reconcile, categories exactly the catalog's
+    # aggregated layer: totals reconcile, categories exactly the code table's
     summary_name = name("agg_profit_summary")
 
     def summary_gate(staged: dict[str, DataFrame]) -> None:
         summary = staged[summary_name]
         qa.gate(qa.combine(
             qa.reconciliation_rule(enriched_orders, summary, "agg_profit_summary"),
-            qa.required_columns_rule(summary, registry.SUMMARY_REQUIRED, "agg_profit_summary"),
-            qa.accepted_values(summary, "category", star.STAR_CATEGORIES, "agg_profit_summary"),
+            qa.required_columns_rule(summary, layers.SUMMARY_REQUIRED, "agg_profit_summary"),
+            qa.accepted_values(summary, "category", cfg.categories, "agg_profit_summary"),
         ))
 
     written |= tables.publish_tables(
         spark, {summary_name: layers.aggregated_layer(enriched_orders)}, location, summary_gate)
     return PipelineRun(written, layers.reports(enriched_orders), location)
+
+
+def run(spark: SparkSession, sf_dir: str, location: str | None = None,
+        suffix: str = "") -> PipelineRun:
+    """The layered job over the driver tables."""
+    return run_layers(spark, star.sources(spark, sf_dir), star.config(), location, suffix)

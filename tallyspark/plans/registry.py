@@ -32,9 +32,8 @@ from tallyspark.sources import files, tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 ORDER_KEY = ("order_id", "line_number")
-ENRICHED_REQUIRED = ("order_id", "customer_id", "product_id", "profit", "customer_name",
-                     "country", "category", "sub_category")
-SUMMARY_REQUIRED = ("year", "category", "sub_category", "customer_name", "total_profit")
+ENRICHED_REQUIRED = layers.ENRICHED_REQUIRED
+SUMMARY_REQUIRED = layers.SUMMARY_REQUIRED
 
 
 def star_raw(spark: SparkSession, sf_dir: str) -> layers.Layer:
@@ -252,17 +251,7 @@ def q_quality_report(spark, sf_dir):
 
 
 def raw_rules(raw: layers.Layer) -> DataFrame:
-    return qa.combine(
-        qa.row_rules(raw.customers, "raw_customers", key="customer_id"),
-        qa.row_rules(raw.products, "raw_products", key="product_id"),
-        qa.row_rules(raw.orders, "raw_orders", key=list(ORDER_KEY)),
-        qa.required_columns_rule(raw.customers, ("customer_id", "customer_name", "segment",
-                                                 "country", "region"), "raw_customers"),
-        qa.required_columns_rule(raw.products, ("product_id", "category", "sub_category",
-                                                "product_name"), "raw_products"),
-        qa.required_columns_rule(raw.orders, ("order_id", "customer_id", "product_id",
-                                              "quantity", "price", "profit"), "raw_orders"),
-    )
+    return layers.raw_rules(raw, layers.DEFAULT_SPECS)
 
 
 def q_raw_quality(spark, sf_dir):

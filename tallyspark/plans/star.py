@@ -169,6 +169,13 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def config():
+    """Keys, code tables and years of this star (see ``layers.SalesConfig``)."""
+    from tallyspark.plans.layers import DEFAULT_SPECS, SalesConfig
+
+    return SalesConfig(DEFAULT_SPECS, STAR_CATEGORY_CODES, STAR_SUB_CATEGORY_CODES, STAR_YEARS)
+
+
 @dataclass(frozen=True)
 class Sources:
     customers: DataFrame
