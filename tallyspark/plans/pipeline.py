@@ -33,9 +33,16 @@ class PipelineRun:
 
 
 def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
-               location: str | None = None, suffix: str = "") -> PipelineRun:
+               location: str | None = None, suffix: str = "",
+               database: str | None = None) -> PipelineRun:
+    """Raw → enriched → aggregated. With ``database`` the tables live in that
+    database (created at ``location`` if missing) under qualified names."""
     location = location or shared_dir(spark, "pipeline")
-    name = lambda n: f"{n}{suffix}"
+    prefix = ""
+    if database:
+        tables.create_database(spark, database, f"{location.rstrip('/')}/{database}.db")
+        prefix = f"{database}."
+    name = lambda n: f"{prefix}{n}{suffix}"
     written: dict[str, int] = {}
 
     # raw layer: keys unique and present, required columns present
@@ -84,6 +91,7 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
 
 
 def run(spark: SparkSession, sf_dir: str, location: str | None = None,
-        suffix: str = "") -> PipelineRun:
+        suffix: str = "", database: str | None = None) -> PipelineRun:
     """The layered job over the driver tables."""
-    return run_layers(spark, star.sources(spark, sf_dir), star.config(), location, suffix)
+    return run_layers(spark, star.sources(spark, sf_dir), star.config(), location, suffix,
+                      database)

@@ -87,7 +87,7 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
     run = uuid.uuid4().hex[:12]
     paths, written = {}, {}
     for name, df in tables.items():
-        path = f"{location_root.rstrip('/')}/{name.split('.')[-1]}/v-{run}"
+        path = f"{location_root.rstrip('/')}/{name.replace('.', '/')}/v-{run}"
         obs = Observation(f"publish_{name.replace('.', '_')}_{run}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(path)
         paths[name], written[name] = path, int(obs.get["rows"])

@@ -108,3 +108,20 @@ def test_ndjson_orders_with_schema(spark, tmp_path):
               "`Price` double, `Discount` double, `Profit` double")
     df = files.read_json(spark, str(path), schema)
     assert df.count() == 4 and df.columns[0] == "Row ID"
+
+
+def test_command_line_over_files(spark, tmp_path, capsys):
+    from tallyspark.__main__ import main
+
+    (tmp_path / "Customer.csv").write_bytes(CUSTOMERS.encode("latin-1"))
+    (tmp_path / "Products.csv").write_text(PRODUCTS)
+    (tmp_path / "Orders.json").write_text(json.dumps(ORDERS, indent=2))
+    db = "sales_" + uuid.uuid4().hex[:8]
+    main(["files", "--customers", str(tmp_path / "Customer.csv"),
+          "--products", str(tmp_path / "Products.csv"), "--orders", str(tmp_path / "Orders.json"),
+          "--database", db, "--show", "3"])
+    out = capsys.readouterr().out
+    written = json.loads(out.splitlines()[0])["written"]
+    assert written[f"{db}.enriched_orders"] == 4
+    assert spark.table(f"{db}.agg_profit_summary").count() == 4
+    assert "-- profit_by_customer_year" in out
