@@ -29,28 +29,33 @@ def _spark(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def _unpivot(totals: DataFrame, subject: str, rules: Sequence[tuple[str, Column, Column]]
-             ) -> DataFrame:
-    """One-row ``totals`` → one row per (rule, checked, failed)."""
-    entries = [
-        F.struct(F.lit(name).alias("rule"), F.lit(subject).alias("subject"),
-                 F.coalesce(checked.cast("bigint"), F.lit(0).cast("bigint")).alias("checked"),
-                 F.coalesce(failed.cast("bigint"), F.lit(0).cast("bigint")).alias("failed"))
-        for name, checked, failed in rules
-    ]
+def _unpivot(totals: DataFrame, subject: str, rules: Sequence[tuple]) -> DataFrame:
+    """One-row ``totals`` → one row per rule: (name, checked, failed) or
+    (name, checked, failed, subject)."""
+    entries = []
+    for rule in rules:
+        name, checked, failed = rule[:3]
+        entries.append(F.struct(
+            F.lit(name).alias("rule"),
+            F.lit(rule[3] if len(rule) > 3 else subject).alias("subject"),
+            F.coalesce(checked.cast("bigint"), F.lit(0).cast("bigint")).alias("checked"),
+            F.coalesce(failed.cast("bigint"), F.lit(0).cast("bigint")).alias("failed")))
     return (totals.select(F.inline(F.array(*entries)))
             .withColumn("passed", F.col("failed") == 0)
             .select(*RULE_COLUMNS))
 
 
 def row_rules(df: DataFrame, subject: str, failing: Mapping[str, Column] | None = None,
-              key: KeySpec | None = None) -> DataFrame:
+              key: KeySpec | None = None,
+              match_rows: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """``not_empty``, optional ``unique_key`` / ``null_key``, and one rule per
     entry of ``failing`` (name → condition true on a bad row), in one pass.
 
     Without a key this is a single global aggregate (partials per task, no
     shuffle of rows). With a key, rows are first counted per key (partial
-    aggregation before the shuffle), then summed."""
+    aggregation before the shuffle), then summed. ``match_rows`` (label →
+    frame) adds a ``row_count_match`` rule per frame whose row count must
+    equal this table's, reusing this pass's count instead of a second one."""
     failing = dict(failing or {})
     conds = list(failing.items())
     if key is None:
@@ -80,6 +85,15 @@ def row_rules(df: DataFrame, subject: str, failing: Mapping[str, Column] | None
         ]
     rows = F.coalesce(F.col("_rows"), F.lit(0))
     rules += [(name, rows, F.col(f"_f{i}")) for i, (name, _) in enumerate(conds)]
+    if match_rows:
+        # one-row totals of every frame, side by side through a union (no join)
+        combined = totals
+        for i, other in enumerate(match_rows.values()):
+            combined = combined.unionByName(other.agg(F.count(F.lit(1)).alias(f"_m{i}")),
+                                            allowMissingColumns=True)
+        totals = combined.agg(*[F.max(c).alias(c) for c in combined.columns])
+        rules += [("row_count_match", F.col(f"_m{i}"), F.abs(F.col(f"_m{i}") - rows), label)
+                  for i, label in enumerate(match_rows)]
     return _unpivot(totals, subject, rules)
 
 
