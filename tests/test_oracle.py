@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from tools.oracle_check import digest
+from tools.oracle_check import digest, type_mismatches
 
 QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
@@ -28,6 +28,7 @@ def test_matches_duckdb(spark, sf_dir, duck, name):
     rel = duck.sql(ORACLE[name])
     dcols, drows = rel.columns, rel.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert not type_mismatches(sdf, rel)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
 
