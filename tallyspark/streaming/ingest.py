@@ -6,11 +6,14 @@ decoding — are projections, so they apply to a streaming DataFrame as is.
 What changes is the keyed work:
 
 * de-duplication is ``dropDuplicatesWithinWatermark`` on the business key,
-  with the order date as event time: copies of an order line share their
-  order date, so state for a key is dropped once the watermark passes it and
-  state stays bounded by the watermark delay, not by the whole history.
-  Which copy survives is the first to arrive (the batch layer instead keeps
-  the lowest price; see ``layers.DEFAULT_SPECS``).
+  with the landing time of each file (``_metadata.file_modification_time``)
+  as event time. Lines arrive in no particular order-date order, so the
+  order date would make a late-arriving line look "late" and drop it; the
+  landing time only moves forward, so no line is ever dropped, copies that
+  land within ``delay`` of each other collapse to one, and state stays
+  bounded by the delay rather than the whole history. Which copy survives is
+  the first to arrive (the batch layer keeps the lowest price; see
+  ``layers.DEFAULT_SPECS``).
 * enrichment is a stream-static left join against the current customer and
   product tables.
 * the sink is ``foreachBatch``: each micro-batch replaces its own
@@ -27,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyspark.functions.parsing import DEFAULT_DATE_FORMAT, parse_date
 from tallyspark.operators.keyed import KeySpec, key_list
 from tallyspark.operators.transforms import standardize_column_names, trim_string_columns
 from tallyspark.plans import layers
@@ -44,11 +46,11 @@ def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "json",
 
 
 def raw_order_stream(stream: DataFrame, key: KeySpec = ("order_id", "line_number"),
-                     date_column: str = "order_date", fmt: str = DEFAULT_DATE_FORMAT,
-                     delay: str = "30 days") -> DataFrame:
-    """Raw-layer treatment of a stream of source order lines."""
-    out = trim_string_columns(standardize_column_names(stream))
-    out = out.withColumn(EVENT_TIME, parse_date(date_column, fmt).cast("timestamp"))
+                     delay: str = "1 day") -> DataFrame:
+    """Raw-layer treatment of a stream of source order lines (read from
+    files: the landing time of each file is the event time)."""
+    landed = stream.withColumn(EVENT_TIME, F.col("_metadata.file_modification_time"))
+    out = trim_string_columns(standardize_column_names(landed))
     return (out.withWatermark(EVENT_TIME, delay)
             .dropDuplicatesWithinWatermark(key_list(key))
             .drop(EVENT_TIME))
@@ -57,7 +59,7 @@ def raw_order_stream(stream: DataFrame, key: KeySpec = ("order_id", "line_number
 def enriched_order_stream(stream: DataFrame, customers: DataFrame, products: DataFrame,
                           category_codes: Mapping[str, str],
                           sub_category_codes: Mapping[str, str],
-                          delay: str = "30 days") -> DataFrame:
+                          delay: str = "1 day") -> DataFrame:
     raw = raw_order_stream(stream, delay=delay)
     return layers.enriched_orders(raw, customers, products, category_codes, sub_category_codes)
 

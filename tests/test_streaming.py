@@ -32,3 +32,25 @@ def test_replayed_batch_overwrites_its_partition(spark, tmp_path):
     write(df, 0)  # replay after a failure
     write(df, 1)
     assert spark.read.parquet(path).count() == 6
+
+
+def test_many_micro_batches_lose_nothing_and_keep_one_copy(spark, sf_dir):
+    from tallyspark.plans import star
+    from tallyspark.plans.registry import ORDER_SOURCE_SCHEMA
+    from tallyspark.session import shared_dir
+    from tallyspark.sources import files
+    from tallyspark.streaming import ingest
+
+    base = shared_dir(spark, "t-stream")
+    # copies of a line land in different files, hence in different micro-batches
+    files.write_json(star.order_source(spark, sf_dir).repartition(5), f"{base}/landing")
+    batch = star_enriched(spark, sf_dir)
+    stream = ingest.enriched_order_stream(
+        ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA, max_files_per_trigger=1),
+        batch.customers, batch.products, star.STAR_CATEGORY_CODES, star.STAR_SUB_CATEGORY_CODES)
+    ingest.run_available(stream, f"{base}/enriched", f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/enriched")
+    assert out.select("batch_id").distinct().count() == 5
+    key = ["order_id", "line_number"]
+    assert out.count() == batch.orders.count()
+    assert out.groupBy(*key).count().filter("count > 1").isEmpty()
