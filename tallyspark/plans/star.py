@@ -84,7 +84,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
         return df
-    return df if splits >= cores else df.repartition(cores, *keys)
+    # no explicit count: AQE sizes the partitions from the bytes actually
+    # shuffled, so a mid-sized input on a large cluster is not cut into
+    # thousands of slivers
+    return df if splits >= cores else df.repartition(*keys)
 
 
 def product_code(p_type: str | Column, p_brand: str | Column, partkey: str | Column) -> Column:
