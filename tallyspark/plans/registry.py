@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 
 from tallyspark.operators import aggregate as agg
 from tallyspark.operators import quality as qa
+from tallyspark.operators.enrich import Dimension, enrich
 from tallyspark.operators.keyed import duplicate_summary, remove_duplicate_keys
 from tallyspark.operators.transforms import (
     cast_price_column,
@@ -132,9 +133,15 @@ def q_null_summary(spark, sf_dir):
 # --- J1, J2, C9-C12, L4: enrichment -------------------------------------------
 
 def q_derive_code(spark, sf_dir):
-    """Category / sub-category after the product join, gaps decoded."""
-    return star_enriched(spark, sf_dir).orders.select(
-        *ORDER_KEY, "product_id", "category", "sub_category")
+    """Category / sub-category after the product join, gaps decoded
+    from the codes in the product id."""
+    raw = star_raw(spark, sf_dir)
+    joined = enrich(layers.typed_orders(raw.orders), [
+        Dimension(layers.enriched_products(raw.products), "product_id",
+                  ("category", "sub_category"))])
+    decoded = derive_category_from_product_id(joined, star.STAR_CATEGORY_CODES,
+                                              star.STAR_SUB_CATEGORY_CODES)
+    return decoded.select(*ORDER_KEY, "product_id", "category", "sub_category")
 
 
 def q_enrich_orders(spark, sf_dir):
