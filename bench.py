@@ -2,8 +2,8 @@
 
 Each query is executed in full through the ``noop`` sink (no driver collect),
 once to warm up, then ``$BENCH_REPEATS`` times; the median is reported. The
-layered pipeline (write raw → enriched → aggregate tables, then the four
-reports over the stored table) is timed as ``pipeline_layers``.
+layered job (write raw → enriched → aggregate tables, then the four
+reports over the stored table) is timed as ``layered_job``.
 
 Prints one JSON line.
 """
@@ -19,7 +19,7 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tallyspark.plans import pipeline  # noqa: E402
+from tallyspark.plans import job  # noqa: E402
 from tallyspark.plans.registry import QUERIES  # noqa: E402
 from tallyspark.session import build_session  # noqa: E402
 
@@ -59,15 +59,15 @@ def main() -> None:
         results[name] = round(statistics.median(samples), 3)
         print(f"# {name}: {results[name]}s", file=sys.stderr)
 
-    if not ONLY or "pipeline_layers" in ONLY:
+    if not ONLY or "layered_job" in ONLY:
         def layered():
-            run = pipeline.run(spark, SF_DIR, suffix="_" + uuid.uuid4().hex[:8])
+            run = job.run(spark, SF_DIR, suffix="_" + uuid.uuid4().hex[:8])
             for df in run.reports.values():
                 run_noop(df)
         layered()
         samples = [timed(layered) for _ in range(REPEATS)]
-        results["pipeline_layers"] = round(statistics.median(samples), 3)
-        print(f"# pipeline_layers: {results['pipeline_layers']}s", file=sys.stderr)
+        results["layered_job"] = round(statistics.median(samples), 3)
+        print(f"# layered_job: {results['layered_job']}s", file=sys.stderr)
 
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",

@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from tallyspark.plans import landing, layers, pipeline
+from tallyspark.plans import job, landing, layers
 from tallyspark.session import build_session
 
 
@@ -38,10 +38,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.mode == "files":
         src = landing.reference_files(spark, args.customers, args.products, args.orders,
                                       args.orders_schema, orders_multi_line=not args.ndjson)
-        run = pipeline.run_layers(spark, src, layers.REFERENCE_CONFIG, args.location,
+        run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, args.location,
                                   database=args.database)
     else:
-        run = pipeline.run(spark, args.sf_dir, args.location, database=args.database)
+        run = job.run(spark, args.sf_dir, args.location, database=args.database)
     print(json.dumps({"location": run.location, "written": run.written}))
     for name, df in run.reports.items():
         print(f"-- {name}")

@@ -59,14 +59,19 @@ SUMMARY_KEYS = ("year", "category", "sub_category", "customer_name")
 
 
 def profit_summary(enriched: DataFrame, keys: Sequence[str] = SUMMARY_KEYS,
-                   date_column: str = "order_date", ordered: bool = False) -> DataFrame:
+                   date_column: str = "order_date", ordered: bool = False,
+                   distinct_orders: bool = False) -> DataFrame:
     """Profit, order-line count and revenue per year and the given keys.
 
     ``order_count`` counts order lines with an order id (lines, not distinct
-    orders); ``total_revenue`` is the sum of line prices."""
+    orders); ``total_revenue`` is the sum of line prices. ``distinct_orders``
+    adds the number of distinct order ids per group (an extra
+    de-duplication inside the aggregate, so it is opt-in)."""
     with_year = enriched.withColumn("year", F.year(date_column))
-    return summarize(with_year, list(keys),
-                     profit_measures(count_column="order_id", revenue_column="price"),
+    measures = profit_measures(count_column="order_id", revenue_column="price")
+    if distinct_orders:
+        measures["distinct_orders"] = F.count_distinct("order_id")
+    return summarize(with_year, list(keys), measures,
                      order_by=list(keys) if ordered else None)
 
 

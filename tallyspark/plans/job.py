@@ -37,7 +37,7 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
                database: str | None = None) -> PipelineRun:
     """Raw → enriched → aggregated. With ``database`` the tables live in that
     database (created at ``location`` if missing) under qualified names."""
-    location = location or shared_dir(spark, "pipeline")
+    location = location or shared_dir(spark, "layers")
     prefix = ""
     if database:
         tables.create_database(spark, database, f"{location.rstrip('/')}/{database}.db")

@@ -74,6 +74,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SPREAD_PER_SPLIT = 64
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a scan by ``keys`` only when it yields fewer input
     splits than the session has cores (parquet splits at row groups, so one
@@ -84,10 +87,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
         return df
-    # no explicit count: AQE sizes the partitions from the bytes actually
-    # shuffled, so a mid-sized input on a large cluster is not cut into
-    # thousands of slivers
-    return df if splits >= cores else df.repartition(*keys)
+    if splits >= cores:
+        return df
+    # one partition per core, but at most SPREAD_PER_SPLIT per input split, so
+    # a small file on a large cluster is not cut into thousands of slivers
+    return df.repartition(min(cores, SPREAD_PER_SPLIT * max(splits, 1)), *keys)
 
 
 def product_code(p_type: str | Column, p_brand: str | Column, partkey: str | Column) -> Column:

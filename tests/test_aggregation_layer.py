@@ -96,3 +96,14 @@ class TestReports:
         assert [r["total_profit"] for r in out.collect()] == [99.99, 7.75]
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "TakeOrderedAndProject" in plan
+
+
+def test_distinct_orders_is_opt_in(spark, enriched_small):
+    from tallyspark.operators import aggregate as agg
+
+    doubled = enriched_small.unionByName(enriched_small)
+    out = {(r["year"], r["customer_name"]): r
+           for r in agg.profit_summary(doubled, distinct_orders=True).collect()}
+    mia = out[(2015, "Mia Lindqvist")]
+    assert (mia["order_count"], mia["distinct_orders"]) == (4, 2)
+    assert "distinct_orders" not in agg.profit_summary(enriched_small).columns

@@ -6,13 +6,13 @@ import uuid
 
 from pyspark.testing import assertDataFrameEqual
 
-from tallyspark.plans import pipeline
+from tallyspark.plans import job
 from tallyspark.plans.registry import QUERIES
 
 
 def test_layers_written_and_reports_match_queries(spark, sf_dir):
     suffix = "_" + uuid.uuid4().hex[:8]
-    run = pipeline.run(spark, sf_dir, suffix=suffix)
+    run = job.run(spark, sf_dir, suffix=suffix)
     names = {n.removesuffix(suffix) for n in run.written}
     assert names == {"raw_customers", "raw_products", "raw_orders", "enriched_customers",
                      "enriched_products", "enriched_orders", "agg_profit_summary"}
@@ -30,8 +30,8 @@ def test_layers_written_and_reports_match_queries(spark, sf_dir):
 
 def test_rerun_gives_the_same_tables(spark, sf_dir):
     suffix = "_" + uuid.uuid4().hex[:8]
-    first = pipeline.run(spark, sf_dir, suffix=suffix)
+    first = job.run(spark, sf_dir, suffix=suffix)
     before = spark.table(f"agg_profit_summary{suffix}").collect()
-    second = pipeline.run(spark, sf_dir, location=first.location, suffix=suffix)
+    second = job.run(spark, sf_dir, location=first.location, suffix=suffix)
     assert first.written == second.written
     assertDataFrameEqual(spark.table(f"agg_profit_summary{suffix}"), before)

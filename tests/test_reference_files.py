@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.plans import landing, layers, pipeline
+from tallyspark.plans import job, landing, layers
 from tallyspark.sources import files
 
 CUSTOMERS = (
@@ -63,7 +63,7 @@ def test_files_read_as_the_reference_reads_them(reference_sources):
 
 def test_layers_over_reference_files(spark, reference_sources):
     suffix = "_" + uuid.uuid4().hex[:8]
-    run = pipeline.run_layers(spark, reference_sources, layers.REFERENCE_CONFIG, suffix=suffix)
+    run = job.run_layers(spark, reference_sources, layers.REFERENCE_CONFIG, suffix=suffix)
     counts = {n.removesuffix(suffix): c for n, c in run.written.items()}
     assert counts["raw_products"] == 3          # duplicate product id removed
     assert counts["raw_orders"] == counts["enriched_orders"] == 4
@@ -96,7 +96,7 @@ def test_gate_stops_unknown_category(spark, reference_sources):
     bad = reference_sources.orders.withColumn("Product ID", F.lit("XYZ-QQ-1"))
     src = reference_sources.__class__(reference_sources.customers, reference_sources.products, bad)
     with pytest.raises(AssertionError, match="null_category"):
-        pipeline.run_layers(spark, src, layers.REFERENCE_CONFIG,
+        job.run_layers(spark, src, layers.REFERENCE_CONFIG,
                             suffix="_" + uuid.uuid4().hex[:8])
 
 
