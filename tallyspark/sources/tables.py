@@ -91,10 +91,12 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
         obs = Observation(f"publish_{name.replace('.', '_')}_{run}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(path)
         paths[name], written[name] = path, int(obs.get["rows"])
-    staged = {name: spark.read.format(fmt).load(path) for name, path in paths.items()}
+    # the schema is known: re-reading and registering need no inference pass
+    staged = {name: spark.read.schema(tables[name].schema).format(fmt).load(path)
+              for name, path in paths.items()}
     if gate is not None:
         gate(staged)
     for name, path in paths.items():
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=path, source=fmt)
+        spark.catalog.createTable(name, path=path, source=fmt, schema=tables[name].schema)
     return written
