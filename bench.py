@@ -50,7 +50,7 @@ def sf_of(path: str) -> float | str:
 def main() -> None:
     spark = build_session(f"local[{CPUS}]", CPUS * 2,
                           extra={"spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
-    names = ONLY or sorted(QUERIES)
+    names = [q for q in ONLY if q in QUERIES] if ONLY else sorted(QUERIES)
     results: dict[str, float] = {}
     for name in names:
         build = QUERIES[name]
