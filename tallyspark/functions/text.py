@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,15 +47,21 @@ def trimmed(c: str | Column, chars: str | None = None) -> Column:
     return F.trim(_col(c)) if chars is None else F.trim(_col(c), F.lit(chars))
 
 
-def clean_person_name(c: str | Column, unicode: bool = False) -> Column:
+def clean_person_name(c: str | Column, unicode: bool = False,
+                      protect: Sequence[str] = ()) -> Column:
     """Four regex passes that rejoin split words and drop digits and symbols.
 
     NULL stays NULL and '' stays ''. With ``unicode=True`` non-ASCII letters
-    are kept (the default drops them, as the reference does)."""
+    are kept (the default drops them, as the reference does). ``protect``
+    lists lowercase words (particles such as "van", "der") that step 1 must
+    not glue onto the word before them."""
     inside, allowed_run, edges, spaces = (
         _UNICODE_PATTERNS if unicode
         else (NAME_RUN_INSIDE_WORD, NAME_ALLOWED_RUN, NAME_EDGE_NOISE, WHITESPACE_RUN)
     )
+    if protect:
+        words = "|".join(re.escape(w) for w in protect)
+        inside += rf"(?!(?:{words})\b)"
     value = F.regexp_replace(_col(c), inside, "")
     value = keep_runs(value, allowed_run)
     value = F.regexp_replace(value, edges, "")

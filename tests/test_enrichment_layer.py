@@ -220,3 +220,14 @@ class TestCleaningProperties:
             assert re.fullmatch(r"[A-Za-z' -]*", r["c"]), r
             assert r["c"] == "" or (r["c"][0].isalpha() and r["c"][-1].isalpha()), r
             assert "  " not in r["c"]
+
+
+@pytest.mark.parametrize("dirty,clean", [
+    ("Ludwig van Beethoven", "Ludwig van Beethoven"),
+    ("Anna van der Berg", "Anna van der Berg"),
+    ("Ad...am van#Dyk", "Adam vanDyk"),         # protection keeps the space before the particle only
+    ("Mia@# Lindqvist", "Mia Lindqvist"),
+])
+def test_protected_particles(spark, dirty, clean):
+    out = clean_customer_name(one(spark, dirty, "customer_name"), protect=("van", "der"))
+    assert out.first()[0] == clean
