@@ -97,6 +97,20 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
     if gate is not None:
         gate(staged)
     for name, path in paths.items():
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=path, source=fmt, schema=tables[name].schema)
+        _point(spark, name, path, fmt, tables[name].schema)
     return written
+
+
+def _point(spark: SparkSession, name: str, path: str, fmt: str, schema) -> None:
+    """Make table ``name`` read ``path``. An existing table with the same
+    columns is re-pointed in one catalog operation (readers never find it
+    missing); a new table, or one whose columns changed, is (re)created."""
+    if spark.catalog.tableExists(name):
+        current = spark.table(name).schema
+        same = [(f.name, f.dataType) for f in current] == [(f.name, f.dataType) for f in schema]
+        if same:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"REFRESH TABLE {name}")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source=fmt, schema=schema)

@@ -100,3 +100,19 @@ def test_publish_gates_on_stored_rows_and_keeps_old_table_on_failure(spark):
                               root, gate)
     assert seen["t_pub"].count() == 6          # the gate saw the stored new version
     assertDataFrameEqual(spark.table("t_pub"), good)  # the published table did not change
+
+
+def test_publish_repoints_an_existing_table(spark):
+    root = shared_dir(spark, "t-repoint")
+    first = spark.range(3).selectExpr("id", "id * 10 AS v")
+    tables.publish_tables(spark, {"t_repoint": first}, root)
+    before = spark.sql("DESCRIBE TABLE EXTENDED t_repoint").filter("col_name = 'Location'").first()
+    second = spark.range(5).selectExpr("id", "id * 100 AS v")
+    tables.publish_tables(spark, {"t_repoint": second}, root)
+    after = spark.sql("DESCRIBE TABLE EXTENDED t_repoint").filter("col_name = 'Location'").first()
+    assert before["data_type"] != after["data_type"]
+    assertDataFrameEqual(spark.table("t_repoint"), second)
+    # a changed schema is re-created
+    third = spark.range(2).selectExpr("CAST(id AS string) AS id")
+    tables.publish_tables(spark, {"t_repoint": third}, root)
+    assertDataFrameEqual(spark.table("t_repoint"), third)
