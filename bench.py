@@ -52,22 +52,29 @@ def main() -> None:
                           extra={"spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     names = [q for q in ONLY if q in QUERIES] if ONLY else sorted(QUERIES)
     results: dict[str, float] = {}
-    for name in names:
-        build = QUERIES[name]
-        timed(lambda: run_noop(build(spark, SF_DIR)))
-        samples = [timed(lambda: run_noop(build(spark, SF_DIR))) for _ in range(REPEATS)]
+    errors: dict[str, str] = {}
+
+    def measure(name: str, fn) -> None:
+        try:
+            fn()
+            samples = [timed(fn) for _ in range(REPEATS)]
+        except Exception as exc:  # noqa: BLE001 - report it, keep benchmarking the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            print(f"# {name}: FAILED {errors[name]}", file=sys.stderr)
+            return
         results[name] = round(statistics.median(samples), 3)
         print(f"# {name}: {results[name]}s", file=sys.stderr)
 
+    for name in names:
+        build = QUERIES[name]
+        measure(name, lambda: run_noop(build(spark, SF_DIR)))
+
     if not ONLY or "layered_job" in ONLY:
         def layered():
             run = job.run(spark, SF_DIR, suffix="_" + uuid.uuid4().hex[:8])
             for df in run.reports.values():
                 run_noop(df)
-        layered()
-        samples = [timed(layered) for _ in range(REPEATS)]
-        results["layered_job"] = round(statistics.median(samples), 3)
-        print(f"# layered_job: {results['layered_job']}s", file=sys.stderr)
+        measure("layered_job", layered)
 
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -78,6 +85,7 @@ def main() -> None:
         "cpus": CPUS,
         "repeats": REPEATS,
         "spark": spark.version,
+        "errors": errors,
     }))
     spark.stop()
 
