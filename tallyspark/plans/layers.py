@@ -107,11 +107,12 @@ def raw_layer(src: Sources, specs: Mapping[str, SourceSpec] = DEFAULT_SPECS) ->
 
 def raw_rules(raw: Layer, specs: Mapping[str, SourceSpec] = DEFAULT_SPECS) -> DataFrame:
     """The raw layer's gate: every table non-empty, keys unique and not NULL,
-    required columns present."""
+    required columns present, column names in standard form."""
     frames = {"customers": raw.customers, "products": raw.products, "orders": raw.orders}
     return qa.combine(
         *[qa.row_rules(df, f"raw_{n}", key=specs[n].key) for n, df in frames.items()],
         *[qa.required_columns_rule(df, RAW_REQUIRED[n], f"raw_{n}") for n, df in frames.items()],
+        *[qa.column_naming_rule(df, f"raw_{n}") for n, df in frames.items()],
     )
 
 

@@ -287,6 +287,9 @@ def _raw_quality_sql() -> str:
         "SELECT 'required_columns', 'raw_customers', 5, 0",
         "SELECT 'required_columns', 'raw_products', 4, 0",
         "SELECT 'required_columns', 'raw_orders', 6, 0",
+        "SELECT 'column_naming', 'raw_customers', 6, 0",
+        "SELECT 'column_naming', 'raw_products', 5, 0",
+        "SELECT 'column_naming', 'raw_orders', 10, 0",
     ]
     return _rule_table(ctes, selects)
 
