@@ -35,3 +35,17 @@ def test_rerun_gives_the_same_tables(spark, sf_dir):
     second = job.run(spark, sf_dir, location=first.location, suffix=suffix)
     assert first.written == second.written
     assertDataFrameEqual(spark.table(f"agg_profit_summary{suffix}"), before)
+
+
+def test_command_line_over_the_driver_tables(spark, sf_dir, capsys):
+    import json
+
+    from tallyspark.__main__ import main
+
+    db = "star_" + uuid.uuid4().hex[:8]
+    main(["star", "--sf-dir", sf_dir, "--database", db, "--show", "2"])
+    out = capsys.readouterr().out
+    written = json.loads(out.splitlines()[0])["written"]
+    assert written[f"{db}.raw_orders"] == written[f"{db}.enriched_orders"]
+    assertDataFrameEqual(spark.table(f"{db}.agg_profit_summary"),
+                         QUERIES["q_profit_summary"](spark, sf_dir))
