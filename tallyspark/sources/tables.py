@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -70,14 +70,19 @@ def read_back_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 
 def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], location_root: str,
                    gate: Callable[[dict[str, DataFrame]], None] | None = None,
-                   fmt: str = "parquet") -> dict[str, int]:
+                   fmt: str = "parquet",
+                   observe: Mapping[str, Mapping[str, Column]] | None = None,
+                   observed: dict | None = None) -> dict[str, int]:
     """Write, check, then publish: each layer is computed once.
 
     1. every table is written once to a new version folder
-       ``<root>/<table>/v-<run>`` (row counts observed during the write);
-    2. ``gate`` gets the *stored* versions (a cheap columnar re-read) and
-       raises to stop; nothing has been published yet, so the current tables
-       stay as they were;
+       ``<root>/<table>/v-<run>``; its row count, and any aggregate in
+       ``observe[table]`` (name → column), is computed during that write
+       (``DataFrame.observe``) and put in ``observed[table]`` — no second
+       pass over the data;
+    2. ``gate`` gets the *stored* versions (a cheap columnar re-read) and can
+       use ``observed``; it raises to stop, and nothing has been published
+       yet, so the current tables stay as they were;
     3. each table name is pointed at its new folder (a catalog operation).
 
     A re-run writes a new version and re-points the name, so the result is
@@ -85,12 +90,15 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
     never a half-written table.
     """
     run = uuid.uuid4().hex[:12]
+    observed = {} if observed is None else observed
     paths, written = {}, {}
     for name, df in tables.items():
         path = f"{location_root.rstrip('/')}/{name.replace('.', '/')}/v-{run}"
         obs = Observation(f"publish_{name.replace('.', '_')}_{run}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).save(path)
-        paths[name], written[name] = path, int(obs.get["rows"])
+        extra = [c.alias(m) for m, c in ((observe or {}).get(name) or {}).items()]
+        df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra).write.format(fmt).save(path)
+        observed[name] = dict(obs.get)
+        paths[name], written[name] = path, int(observed[name]["rows"])
     # the schema is known: re-reading and registering need no inference pass
     staged = {name: spark.read.schema(tables[name].schema).format(fmt).load(path)
               for name, path in paths.items()}
