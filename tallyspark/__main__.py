@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--location", default=None)
         p.add_argument("--master", default=None)
         p.add_argument("--show", type=int, default=10, help="rows of each report to print")
+        p.add_argument("--no-verify-keys", action="store_true",
+                       help="skip re-checking raw key uniqueness (guaranteed by the dedup)")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master)
@@ -39,9 +41,10 @@ def main(argv: list[str] | None = None) -> None:
         src = landing.reference_files(spark, args.customers, args.products, args.orders,
                                       args.orders_schema, orders_multi_line=not args.ndjson)
         run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, args.location,
-                                  database=args.database)
+                             database=args.database, verify_keys=not args.no_verify_keys)
     else:
-        run = job.run(spark, args.sf_dir, args.location, database=args.database)
+        run = job.run(spark, args.sf_dir, args.location, database=args.database,
+                      verify_keys=not args.no_verify_keys)
     print(json.dumps({"location": run.location, "written": run.written}))
     for name, df in run.reports.items():
         print(f"-- {name}")

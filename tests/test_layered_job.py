@@ -49,3 +49,12 @@ def test_command_line_over_the_driver_tables(spark, sf_dir, capsys):
     assert written[f"{db}.raw_orders"] == written[f"{db}.enriched_orders"]
     assertDataFrameEqual(spark.table(f"{db}.agg_profit_summary"),
                          QUERIES["q_profit_summary"](spark, sf_dir))
+
+
+def test_without_key_verification_the_gates_read_no_large_table(spark, sf_dir):
+    suffix = "_" + uuid.uuid4().hex[:8]
+    fast = job.run(spark, sf_dir, suffix=suffix, verify_keys=False)
+    assertDataFrameEqual(spark.table(f"agg_profit_summary{suffix}"),
+                         QUERIES["q_profit_summary"](spark, sf_dir))
+    assert {n.removesuffix(suffix): c for n, c in fast.written.items()}["raw_orders"] == \
+        QUERIES["q_dedup_keep_one"](spark, sf_dir).count()
