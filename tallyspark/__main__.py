@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         run = job.run(spark, args.sf_dir, args.location, database=args.database,
                       verify_keys=not args.no_verify_keys)
-    print(json.dumps({"location": run.location, "written": run.written}))
+    print(json.dumps({"location": run.location, "written": run.written,
+                      "duplicates_removed": run.duplicates_removed}))
     for name, df in run.reports.items():
         print(f"-- {name}")
         df.show(args.show, truncate=False)

@@ -13,9 +13,10 @@ reference's CSV/JSON files, ``star.sources`` for the driver tables) and a
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.parsing import SUM_SCALE, money
@@ -33,6 +34,8 @@ class PipelineRun:
     written: dict[str, int]
     reports: dict[str, DataFrame]
     location: str
+    # source rows minus raw rows per raw table (copies the dedup removed)
+    duplicates_removed: dict[str, int] = field(default_factory=dict)
 
 
 def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
@@ -58,7 +61,11 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
     # written, so no gate re-scans a large table.
     observed: dict = {}
 
-    # raw layer: keys unique and present, required columns present, names standard
+    # raw layer: keys unique and present, required columns present, names standard.
+    # Source rows are observed below the dedup, in the same pass as the write.
+    source_obs = {n: Observation(f"source_{n}_{uuid.uuid4().hex[:8]}") for n in RAW}
+    src = star.Sources(*(df.observe(source_obs[n], F.count(F.lit(1)).alias("rows"))
+                         for n, df in zip(RAW, (src.customers, src.products, src.orders))))
     raw = layers.raw_layer(src, cfg.specs)
 
     raw_tables = {name(k): v for k, v in raw.tables("raw").items()}
@@ -88,6 +95,7 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
     written |= tables.publish_tables(spark, raw_tables, location, raw_gate, observe=null_keys,
                                      observed=observed)
     stored = layers.Layer(*(spark.table(name(n)) for n in RAW))
+    removed = {n: int(source_obs[n].get["rows"]) - observed[name(n)]["rows"] for n in RAW}
 
     # enriched layer over the stored raw tables: no row lost, every category resolved
     enriched = layers.enriched_layer(stored, cfg.category_codes, cfg.sub_category_codes)
@@ -133,7 +141,7 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
     written |= tables.publish_tables(
         spark, {summary_name: layers.aggregated_layer(enriched_orders)}, location, summary_gate,
         observed=observed)
-    return PipelineRun(written, layers.reports(enriched_orders), location)
+    return PipelineRun(written, layers.reports(enriched_orders), location, removed)
 
 
 def run(spark: SparkSession, sf_dir: str, location: str | None = None,

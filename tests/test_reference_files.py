@@ -66,6 +66,7 @@ def test_layers_over_reference_files(spark, reference_sources):
     run = job.run_layers(spark, reference_sources, layers.REFERENCE_CONFIG, suffix=suffix)
     counts = {n.removesuffix(suffix): c for n, c in run.written.items()}
     assert counts["raw_products"] == 3          # duplicate product id removed
+    assert run.duplicates_removed == {"raw_customers": 0, "raw_products": 1, "raw_orders": 0}
     assert counts["raw_orders"] == counts["enriched_orders"] == 4
 
     customers = {r["customer_id"]: r for r in spark.table(f"enriched_customers{suffix}").collect()}
