@@ -38,7 +38,7 @@ def _free_name(df: DataFrame, base: str) -> str:
 
 def remove_duplicate_keys(df: DataFrame, key_column: KeySpec,
                           order_by: Sequence[str | Column] | None = None,
-                          keep: str = "first") -> DataFrame:
+                          keep: str = "first", declare_unique: bool = False) -> DataFrame:
     """Keep one row per key.
 
     ``keep="first"`` (default) keeps the first row in ``order_by`` order, with
@@ -50,6 +50,13 @@ def remove_duplicate_keys(df: DataFrame, key_column: KeySpec,
 
     ``keep="any"`` is a plain hash aggregate (``dropDuplicates``): cheaper, no
     sort, but which row survives is unspecified.
+
+    ``declare_unique=True`` ends the plan with a ``dropDuplicates`` on the
+    key. The rows are already unique, so nothing changes, and the input is
+    already partitioned by the key, so no exchange is added. What it buys is
+    that Catalyst now *knows* the key is unique: a left join to this table
+    whose columns a query never uses is removed from the plan. Use it on
+    dimension tables.
     """
     keys = key_list(key_column)
     missing = [k for k in keys if k not in df.columns]
@@ -67,7 +74,8 @@ def remove_duplicate_keys(df: DataFrame, key_column: KeySpec,
         return df.dropDuplicates(keys)
     rank = _free_name(df, "_row_num")
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
+    out = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
+    return out.dropDuplicates(keys) if declare_unique else out
 
 
 def duplicate_summary(df: DataFrame, key_column: KeySpec) -> DataFrame:

@@ -87,3 +87,16 @@ def test_hot_key_join_is_split(spark):
     assert sum(rows.values()) == n
     assert rows["7"] == sum(1 for i in range(n) if i % 3 == 0 or i % 500 == 7)
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_unused_dimension_joins_are_removed(spark, sf_dir):
+    def joins(name):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Join LeftOuter")
+
+    # by year: neither customer nor product columns are used
+    assert joins("q_profit_by_year") == 0
+    # by year and category: the product join stays, the customer branch goes
+    assert joins("q_profit_by_year_category") == 1
+    # the full enriched table keeps both (and the customer source's nation/region)
+    assert joins("q_enrich_orders") == 4
