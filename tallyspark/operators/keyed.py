@@ -55,8 +55,10 @@ def remove_duplicate_keys(df: DataFrame, key_column: KeySpec,
     key. The rows are already unique, so nothing changes, and the input is
     already partitioned by the key, so no exchange is added. What it buys is
     that Catalyst now *knows* the key is unique: a left join to this table
-    whose columns a query never uses is removed from the plan. Use it on
-    dimension tables.
+    whose columns a query never uses is removed from the plan. Off by
+    default: on Spark 4.1.2, ``exceptAll`` over a plan that joins such a
+    table after a semi join failed with an internal attribute-binding error
+    (see tests/test_plans.py), so turn it on only for report-only plans.
     """
     keys = key_list(key_column)
     missing = [k for k in keys if k not in df.columns]

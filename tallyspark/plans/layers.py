@@ -32,23 +32,23 @@ from tallyspark.plans.star import Sources
 @dataclass(frozen=True)
 class SourceSpec:
     """Business key of a source, the order that picks the surviving row, and
-    whether it is a dimension (its key uniqueness is then declared to
-    Catalyst, so unused enrichment joins drop out of report plans)."""
+    whether to declare the key unique to Catalyst after the dedup (see
+    ``remove_duplicate_keys(declare_unique=...)``; off by default)."""
 
     key: KeySpec
     order_by: Sequence[str] = field(default_factory=tuple)
-    dimension: bool = False
+    declare_unique: bool = False
 
 
 DEFAULT_SPECS = {
-    "customers": SourceSpec("customer_id", dimension=True),
-    "products": SourceSpec("product_id", dimension=True),
+    "customers": SourceSpec("customer_id"),
+    "products": SourceSpec("product_id"),
     "orders": SourceSpec(("order_id", "line_number"), ("price", "ship_date")),
 }
 # The reference's own files key order lines by row_id.
 REFERENCE_FILE_SPECS = {
-    "customers": SourceSpec("customer_id", dimension=True),
-    "products": SourceSpec("product_id", dimension=True),
+    "customers": SourceSpec("customer_id"),
+    "products": SourceSpec("product_id"),
     "orders": SourceSpec("row_id"),
 }
 
@@ -98,7 +98,7 @@ def standardize(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Raw-layer treatment of one source: rename, trim, de-duplicate."""
     df = trim_string_columns(standardize_column_names(df))
     return remove_duplicate_keys(df, spec.key, order_by=list(spec.order_by),
-                                 declare_unique=spec.dimension)
+                                 declare_unique=spec.declare_unique)
 
 
 def raw_layer(src: Sources, specs: Mapping[str, SourceSpec] = DEFAULT_SPECS) -> Layer:

@@ -89,14 +89,31 @@ def test_hot_key_join_is_split(spark):
     assert "SortMergeJoin(skew=true)" in plan
 
 
-def test_unused_dimension_joins_are_removed(spark, sf_dir):
-    def joins(name):
-        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
-        return plan.count("Join LeftOuter")
-
-    # by year: neither customer nor product columns are used
-    assert joins("q_profit_by_year") == 0
-    # by year and category: the product join stays, the customer branch goes
-    assert joins("q_profit_by_year_category") == 1
-    # the full enriched table keeps both (and the customer source's nation/region)
-    assert joins("q_enrich_orders") == 4
+def test_declared_unique_dimensions_let_unused_joins_go(spark, sf_dir):
+    from tallyspark.operators import aggregate as agg
+    from tallyspark.plans import layers, star
+
+    specs = dict(layers.DEFAULT_SPECS)
+    specs["customers"] = layers.SourceSpec("customer_id", declare_unique=True)
+    specs["products"] = layers.SourceSpec("product_id", declare_unique=True)
+    raw = layers.raw_layer(star.sources(spark, sf_dir), specs)
+    enriched = layers.enriched_layer(raw, star.STAR_CATEGORY_CODES,
+                                     star.STAR_SUB_CATEGORY_CODES).orders
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    assert joins(agg.profit_by_year(enriched)) == 0           # no dimension column used
+    assert joins(agg.profit_by_year_category(enriched)) == 1  # product join stays
+    assert joins(enriched) == 4                               # everything is needed
+    expected = QUERIES["q_profit_by_year"](spark, sf_dir)
+    assert agg.profit_by_year(enriched).collect() == expected.collect()
+
+
+def test_default_dimensions_keep_exceptall_working(spark, sf_dir):
+    from tallyspark.plans.registry import star_enriched
+
+    batch = star_enriched(spark, sf_dir).orders
+    keys = batch.select("order_id", "line_number").limit(50)
+    semi = batch.join(keys, ["order_id", "line_number"], "left_semi")
+    assert semi.exceptAll(semi).isEmpty()
