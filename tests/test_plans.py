@@ -117,3 +117,10 @@ def test_default_dimensions_keep_exceptall_working(spark, sf_dir):
     keys = batch.select("order_id", "line_number").limit(50)
     semi = batch.join(keys, ["order_id", "line_number"], "left_semi")
     assert semi.exceptAll(semi).isEmpty()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - IO_QUERIES - {"q_stream_enriched_orders"}))
+def test_whole_tables_no_row_caps(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    has_limit = "GlobalLimit" in plan or "LocalLimit" in plan
+    assert has_limit == (name == "q_top_n_groups")

@@ -122,3 +122,24 @@ def test_row_rules_count_like_python(df, rows):
     assert got["null_key"] == (len(rows), sum(1 for r in rows if r[1] is None))
     assert got["no_price"] == (len(rows), sum(1 for r in rows if r[2] is None))
     assert got["neg"] == (len(rows), sum(1 for r in rows if r[2] is not None and r[2] < 0))
+
+
+def test_code_decoding_matches_a_dictionary_lookup(spark):
+    from tallyspark.functions.codes import REFERENCE_CATEGORY_CODES as cats
+    from tallyspark.functions.codes import REFERENCE_SUB_CATEGORY_CODES as subs
+    from tallyspark.operators.transforms import derive_category_from_product_id
+
+    rnd = random.Random(3)
+    pool_c = list(cats) + ["XYZ", "fur", ""]
+    pool_s = list(subs) + ["ZZ", "ch", ""]
+    rows = []
+    for i in range(400):
+        pid = f"{rnd.choice(pool_c)}-{rnd.choice(pool_s)}-{i}" if i % 7 else None
+        rows.append((i, pid, rnd.choice([None, "Given"]), rnd.choice([None, "GivenSub"])))
+    df = spark.createDataFrame(rows, "i int, product_id string, category string, sub_category string")
+    got = {r["i"]: (r["category"], r["sub_category"])
+           for r in derive_category_from_product_id(df).collect()}
+    for i, pid, cat, sub in rows:
+        want_c = cat if cat is not None else (cats.get(pid[0:3]) if pid else None)
+        want_s = sub if sub is not None else (subs.get(pid[4:6]) if pid else None)
+        assert got[i] == (want_c, want_s), (pid, cat, sub)
