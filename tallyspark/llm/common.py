@@ -3,8 +3,11 @@ results, and vectorised hashing of words and word n-grams."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package (as ``--py-files`` would), once per context."""
+    context = spark.sparkContext
+    if not getattr(context, "_tallyspark_shipped", False):
+        top = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(), "tallyspark_package.zip")
+        with zipfile.ZipFile(archive, "w") as file:
+            for part in [*top.glob("*.py"), *top.glob("llm/*.py")]:
+                file.write(part, part.relative_to(top.parent))
+        context.addPyFile(str(archive))
+        context._tallyspark_shipped = True
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` on executors that have this package."""
+    _ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def map_pandas(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInPandas`` on executors that have this package."""
+    _ship_package(df.sparkSession)
+    return df.mapInPandas(fn, schema)
+
+
 @contextmanager
 def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of a finished write are dead weight: the written table

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import gram_hashes, utf8, word_hashes
+from tallyspark.llm.common import gram_hashes, map_arrow, utf8, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -198,7 +198,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, shingle: int =
         return run
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    found = [narrow.mapInArrow(scan(index), RESULT_SCHEMA)
+    found = [narrow.transform(map_arrow, scan(index), RESULT_SCHEMA)
              for index in _indexes(docs, benchmark, shingle, radius, max_items)]
     return (reduce(DataFrame.unionByName, found) if found
             else docs.sparkSession.createDataFrame([], RESULT_SCHEMA))
@@ -216,5 +216,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
         return run
 
     for index in _indexes(docs, benchmark, shingle, radius, max_items):
-        docs = docs.mapInArrow(clean(index), docs.schema)
+        docs = docs.transform(map_arrow, clean(index), docs.schema)
     return docs

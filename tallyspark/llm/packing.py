@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.llm.common import map_arrow
+
 WINDOW = 1024
 SHARD_DOCS = 1024
 QUERY_TERMS = 12
@@ -255,4 +257,4 @@ def pack(docs: DataFrame, tokenizer_json: str, ranks: str, window: int = WINDOW,
         yield packer.batch()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-            .mapInArrow(run, RESULT_SCHEMA))
+            .transform(map_arrow, run, RESULT_SCHEMA))

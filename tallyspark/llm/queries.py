@@ -7,10 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import decontaminate, packing, simhash_dedup, substring_dedup
+from tallyspark.llm import (
+    decontaminate, language_id, packing, quality, simhash_dedup, substring_dedup, token_counts,
+)
 from tallyspark.llm.common import read_table
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +41,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read_table(spark, sf_dir, "documents"),
+                                 read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 #: None of these has a SQL form that is usable on whole tables.

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import stored, utf8
+from tallyspark.llm.common import map_arrow, map_pandas, stored, utf8
 
 SHINGLE = 3
 RADIUS = 2
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keys: tuple = ("doc_id
                 [*batch.columns[:-1], pa.array(found.view(np.int64))], [*keys, "fingerprint"])
 
     return (docs.select(*[F.col(k).cast("long").alias(k) for k in keys], F.col("text").cast("string"))
-            .mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", fingerprint long"))
+            .transform(map_arrow, run, ", ".join(f"{k} long" for k in keys) + ", fingerprint long"))
 
 
 class BKTree:
@@ -202,7 +202,7 @@ def links(points: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -
 
     keys = ["pair", "a", "b", "tree"]
     return (visits.repartition(*keys).sortWithinPartitions(*keys, "visitor")
-            .mapInPandas(search, "x long, y long"))
+            .transform(map_pandas, search, "x long, y long"))
 
 
 def _pairs(found: list[tuple[int, int]]) -> pd.DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import (
-    gram_hashes, record_batch, signed, span_hashes, stored, utf8, word_hashes,
+    gram_hashes, map_arrow, record_batch, signed, span_hashes, stored, utf8, word_hashes,
 )
 
 WINDOW = 50
@@ -79,7 +79,7 @@ def edge_table(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFram
                 yield record_batch(parts, ["doc_id", "text_id", "node", "label", "first", "last"])
 
     return (keyed(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-            .mapInArrow(edges, EDGE_SCHEMA))
+            .transform(map_arrow, edges, EDGE_SCHEMA))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def _verified(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
     checked = stored(
         keyed(docs).join(wanted, ["doc_id", "text_id"]).dropDuplicates(["doc_id", "text_id"])
         .select("doc_id", "text", "edges")
-        .mapInArrow(windows, "doc_id long, node long, label long, offset int, content long"),
+        .transform(map_arrow, windows, "doc_id long, node long, label long, offset int, content long"),
         "windows")
     earliest = (checked.groupBy("node", "content")
                 .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -171,4 +171,4 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, k: int = KME
 
     ranges = repeated_ranges(docs, window, k)
     return (keyed(docs).join(ranges, ["doc_id", "text_id"], "left")
-            .select("doc_id", "text", "ranges").mapInArrow(kept, RESULT_SCHEMA))
+            .select("doc_id", "text", "ranges").transform(map_arrow, kept, RESULT_SCHEMA))
