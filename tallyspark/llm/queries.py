@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    decontaminate, language_id, packing, quality, simhash_dedup, substring_dedup, token_counts,
+    decontaminate, language_id, packing, quality, secret_scan, simhash_dedup,
+    substring_dedup, token_counts,
 )
 from tallyspark.llm.common import read_table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans",
+                        "n_random")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("byte_bpe_50k.tiktoken"))

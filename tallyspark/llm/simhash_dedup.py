@@ -174,8 +174,9 @@ def links(points: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -
     distinct fingerprints (column ``fingerprint``) within the radius."""
     shards = points.select(F.explode(shard_keys(F.col("fingerprint"), radius)).alias("shard"),
                            "fingerprint").select("shard.*", "fingerprint")
-    sizes = (shards.groupBy("pair", "a", "b").count().where("count > 1")
-             .select("pair", "a", "b", F.ceil(F.col("count") / tree_size).alias("trees")))
+    sizes = stored(shards.groupBy("pair", "a", "b").count().where("count > 1")
+                   .select("pair", "a", "b", F.ceil(F.col("count") / tree_size).alias("trees")),
+                   "shards")
     own = F.pmod(F.xxhash64("fingerprint"), F.col("trees"))
     visits = (shards.join(sizes, ["pair", "a", "b"])
               .select("pair", "a", "b", "fingerprint", own.alias("own"),
@@ -214,7 +215,8 @@ def components(edges: DataFrame, purpose: str = "groups") -> DataFrame:
     node that has a link. Alternates large-star and small-star until nothing
     changes (logarithmically many rounds); each round is a stored table."""
     def least(e: DataFrame, grouped: str, other: str) -> DataFrame:
-        return e.groupBy(grouped).agg(F.min(other).alias("m"))
+        # stored, so that the join with it is of two plain shuffles: a hot node can be split
+        return stored(e.groupBy(grouped).agg(F.min(other).alias("m")), purpose)
 
     edges = stored(edges.where("x <> y").select(
         F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), purpose)

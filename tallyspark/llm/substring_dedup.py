@@ -20,6 +20,8 @@ path of edges, about one per ``(window - k) / 2`` words.
    its words are fetched from the source text by coordinates and compared
    window by window.
 
+What an aggregate says of a hot node or label is stored before it is joined, so
+that both sides of the join are plain shuffles and Spark can split the key.
 Both outcomes are word ranges by document, which a last join brings back to
 the texts. Memory per task is one Arrow batch and one document's ranges; a
 passage that a third of all documents share is one label, aggregated map-side.
@@ -91,17 +93,17 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Dat
     """(doc_id, text_id, ranges): window ranges [first, last] whose windows
     all start in an earlier document too."""
     edges = stored(edge_table(docs, window, k), "edges")
-    nodes = (edges.groupBy("node")
-             .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
-                  (F.min("label") != F.max("label")).alias("branches"))
-             .where("lo < hi").select("node", "branches"))
+    nodes = stored(edges.groupBy("node")
+                   .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                        (F.min("label") != F.max("label")).alias("branches"))
+                   .where("lo < hi").select("node", "branches"), "nodes")
     edges = stored(edges.join(nodes, "node"), "repeated-edges")
 
     labels = (edges.groupBy("node", "label", "branches")
               .agg(F.min(F.struct("doc_id", "text_id", "first", "last")).alias("source")))
     verified = _verified(docs, labels.where("branches").select("node", "label", "source.*"), window)
-    decided = (labels.select("node", "label", F.col("source.doc_id").alias("source_doc"))
-               .join(verified, ["node", "label"], "left"))
+    decided = stored(labels.select("node", "label", F.col("source.doc_id").alias("source_doc"))
+                     .join(verified, ["node", "label"], "left"), "decided")
     hits = (edges.join(decided, ["node", "label"])
             .where("doc_id > source_doc OR offsets IS NOT NULL")
             .select("doc_id", "text_id", F.explode(
@@ -141,9 +143,9 @@ def _verified(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:
         .select("doc_id", "text", "edges")
         .transform(map_arrow, windows, "doc_id long, node long, label long, offset int, content long"),
         "windows")
-    earliest = (checked.groupBy("node", "content")
-                .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                .where("lo < hi").select("node", "content", "lo"))
+    earliest = stored(checked.groupBy("node", "content")
+                      .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                      .where("lo < hi").select("node", "content", "lo"), "earliest")
     return (checked.join(earliest, ["node", "content"]).where("doc_id > lo")
             .groupBy("node", "label").agg(F.collect_list("offset").alias("offsets")))
 
