@@ -11,10 +11,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import decontaminate, packing, simhash_dedup
+from tallyspark.llm import decontaminate, language_id, packing, secret_scan, simhash_dedup
 from tallyspark.llm.common import read_table, stored
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language that the corpus teaches go."""
+    return language_id.keep_identified(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
     return simhash_dedup.one_per_group(docs)
@@ -25,6 +30,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its secrets are replaced by their kind."""
+    return secret_scan.redact(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of one length."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
@@ -32,8 +42,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
     ("packing", pack_sequences),
 ]
 

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    decontaminate, language_id, packing, quality, secret_scan, simhash_dedup,
-    substring_dedup, token_counts,
+    decontaminate, fingerprint, language_id, packing, quality, role_repair, secret_scan,
+    simhash_dedup, substring_dedup, token_counts,
 )
 from tallyspark.llm.common import read_table
 
 
+def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex",
@@ -26,6 +30,15 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprint.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    return prints.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("print")).alias("fingerprint"),
+        fingerprint.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 

@@ -49,9 +49,9 @@ ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
           r"([A-Za-z0-9+/_.=-]+)")
 ASSIGN_LEAST = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"
-HEX = r"[0-9a-f]{24,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"  # looking back only saves time: a match starts its run
 
-TOKEN = rf"[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}"
+TOKEN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}"
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: (what a run of the encoding looks like, its alphabet), the narrowest first
