@@ -7,12 +7,13 @@ by adding or subtracting its vector (``combine`` and ``without``).
 
 A vector has two parts. DIGEST lanes of 32 bits, modulo 2^32, are hashes of the
 whole paragraph: documents with the same paragraphs agree on them, others do
-not. SKETCH lanes count, for each of 64 bits, the paragraph's word shingles
-whose hash has that bit; two lanes share a 62-bit number, modulo 2^31 each. As
-the counts add up over paragraphs too, the lanes minus half the number of
-shingles are a random projection of the document's shingles, and the cosine of
-two of them, cut to 0..1, estimates how much two documents share (``likeness``;
-standard error about 1/8 for unrelated ones).
+not. SKETCH lanes, also modulo 2^32, count for each of 63 bits the paragraph's
+word shingles whose hash has that bit. As the counts add up over paragraphs
+too, the lanes minus half the number of shingles are a random projection of the
+document's shingles, and the cosine of two of them, cut to 0..1, estimates how
+much two documents share (``likeness``; standard error about 1/8 for unrelated
+ones). Counting goes block by block: within BLOCK shingles a count fits into
+FIELD bits, so one addition counts for seven lanes at once.
 
 Everything is built-in column functions on one row. A document's successor, by
 ascending ``doc_id``, comes from a range-partitioned table of the ids alone: a
@@ -37,10 +38,13 @@ from tallyspark.llm.common import stored
 
 SHINGLE = 3
 DIGEST = 16  # lanes of 32 bits
-SKETCH = 32  # numbers of two lanes each
+FIELD = 9
+SHARED = 7  # fields of a 63-bit number
+BLOCK = (1 << FIELD) - 1
+SKETCH = FIELD * SHARED  # lanes of 32 bits
 
 _WORD_GAP = r"[\x20\x09-\x0D]+"
-_LOW = (1 << 31) - 1
+_LANE = (1 << 32) - 1
 
 
 def _words(paragraph: Column) -> Column:
@@ -61,37 +65,51 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
-def _sums(values: Column, lanes: list[Callable[[Column], Column]], mask: int) -> Column:
+def _sums(values: Column, lanes: list[Callable[[Column], Column]]) -> Column:
     """For each lane, the sum over an array of the lane of its elements."""
     names = [f"s{i}" for i in range(len(lanes))]
     zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
     total = F.aggregate(values, zero, lambda acc, v: F.struct(*[
-        (acc[n] + lane(v)).bitwiseAND(F.lit(mask)).alias(n) if mask else (acc[n] + lane(v)).alias(n)
-        for n, lane in zip(names, lanes, strict=True)]))
+        (acc[n] + lane(v)).alias(n) for n, lane in zip(names, lanes, strict=True)]))
     return _let(total, lambda t: F.array(*[t[n] for n in names]))
 
 
 def _digest_lane(seed: int, high: bool) -> Callable[[Column], Column]:
     def lane(paragraph: Column) -> Column:
         h = F.xxhash64(F.lit(seed), paragraph)
-        return F.shiftrightunsigned(h, 32) if high else h.bitwiseAND(F.lit((1 << 32) - 1))
+        return F.shiftrightunsigned(h, 32) if high else h.bitwiseAND(F.lit(_LANE))
     return lane
 
 
-def _sketch_lane(bit: int) -> Callable[[Column], Column]:
-    return lambda h: F.shiftrightunsigned(h, bit).bitwiseAND(F.lit((1 << 32) + 1))
+def _spread(bit: int) -> Callable[[Column], Column]:
+    """Every FIELD-th bit of a hash, each in a field of its own."""
+    mask = sum(1 << (FIELD * k) for k in range(SHARED))
+    return lambda h: F.shiftrightunsigned(h, bit).bitwiseAND(F.lit(mask))
+
+
+def _counts(hashes: Column) -> Column:
+    """How many of the hashes have each of the lowest SKETCH bits."""
+    def fields(sums: Column) -> Column:
+        return F.flatten(F.transform(sums, lambda x: F.array(*[
+            F.shiftrightunsigned(x, FIELD * k).bitwiseAND(F.lit(BLOCK)) for k in range(SHARED)])))
+
+    def block(i: Column) -> Column:
+        return fields(_sums(F.slice(hashes, i * BLOCK + 1, BLOCK), [_spread(b) for b in range(FIELD)]))
+
+    blocks = F.sequence(F.lit(0), F.floor(F.size(hashes) / BLOCK).cast("int"))
+    zero = F.array_repeat(F.lit(0).cast("long"), SKETCH)
+    return F.aggregate(blocks, zero, lambda acc, i: F.zip_with(acc, block(i), lambda x, y: x + y))
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
-    """Struct of the digest lanes, the packed sketch lanes, and the number of
-    shingles of a text."""
+    """Struct of the digest lanes, the sketch lanes, and the number of shingles of a text."""
     paragraphs = F.split(F.coalesce(text, F.lit("")), "\n")
-    digest = _sums(paragraphs, [_digest_lane(i // 2, i % 2 == 1) for i in range(DIGEST)], (1 << 32) - 1)
+    # fewer than 2^31 paragraphs and shingles fit into a text: sums below 2^63
+    digest = F.transform(_sums(paragraphs, [_digest_lane(i // 2, i % 2 == 1) for i in range(DIGEST)]),
+                         lambda x: x.bitwiseAND(F.lit(_LANE)))
 
     def of_hashes(hashes: Column) -> Column:
-        # fewer than 2^31 shingles fit into a text, so packed lanes never meet
-        return F.struct(digest.alias("digest"),
-                        _sums(hashes, [_sketch_lane(i) for i in range(SKETCH)], 0).alias("sketch"),
+        return F.struct(digest.alias("digest"), _counts(hashes).alias("sketch"),
                         F.size(hashes).cast("long").alias("shingles"))
 
     return _let(F.flatten(F.transform(paragraphs, lambda p: _let(
@@ -99,18 +117,12 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def _lane_wise(a: Column, b: Column, sign: int) -> Column:
-    def add(x: Column, y: Column, bits: int) -> Column:
-        return (x + sign * y).bitwiseAND(F.lit((1 << bits) - 1))
-
-    def packed(x: Column, y: Column) -> Column:
-        low = add(x.bitwiseAND(F.lit(_LOW)), y.bitwiseAND(F.lit(_LOW)), 31)
-        high = add(F.shiftrightunsigned(x, 32), F.shiftrightunsigned(y, 32), 31)
-        return F.shiftleft(high, 32).bitwiseOR(low)
+    def add(x: Column, y: Column) -> Column:
+        return (x + sign * y).bitwiseAND(F.lit(_LANE))
 
-    return F.struct(
-        F.zip_with(a["digest"], b["digest"], lambda x, y: add(x, y, 32)).alias("digest"),
-        F.zip_with(a["sketch"], b["sketch"], packed).alias("sketch"),
-        (a["shingles"] + sign * b["shingles"]).alias("shingles"))
+    return F.struct(F.zip_with(a["digest"], b["digest"], add).alias("digest"),
+                    F.zip_with(a["sketch"], b["sketch"], add).alias("sketch"),
+                    (a["shingles"] + sign * b["shingles"]).alias("shingles"))
 
 
 def combine(a: Column, b: Column) -> Column:
@@ -124,19 +136,17 @@ def without(a: Column, b: Column) -> Column:
 
 
 def as_text(print_: Column) -> Column:
-    """Lanes as hexadecimal digits: 8 for each digest lane, 16 for each packed number."""
-    def digits(lanes: Column, width: int) -> Column:
-        return F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(x), width, "0")), "")
+    """All lanes, 8 hexadecimal digits each."""
+    def digits(lanes: Column) -> Column:
+        return F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(x), 8, "0")), "")
 
-    return F.lower(F.concat_ws("-", digits(print_["digest"], 8), digits(print_["sketch"], 16)))
+    return F.lower(F.concat_ws("-", digits(print_["digest"]), digits(print_["sketch"])))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of common shingles, 0 to 1; 1 for equal fingerprints."""
     def centred(p: Column) -> Column:
-        return F.flatten(F.transform(p["sketch"], lambda x: F.array(
-            2.0 * x.bitwiseAND(F.lit(_LOW)) - p["shingles"],
-            2.0 * F.shiftrightunsigned(x, 32) - p["shingles"])))
+        return F.transform(p["sketch"], lambda x: 2.0 * x - p["shingles"])
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
