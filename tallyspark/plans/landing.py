@@ -7,11 +7,13 @@
 * orders: a pretty-printed JSON array, read with ``multiLine``; NDJSON is
   read the same way with ``orders_multi_line=False`` and splits by block.
 
-CSV columns are read as text and typed by the enrichment layer (price with
-``try_cast``, dates with ``try_to_date``), so a shifted record never fails the
-read. The JSON key names of the orders file are not fixed, so without
+CSV columns are found by their names in the header, read as text and typed by
+the enrichment layer (price with ``try_cast``, dates with ``try_to_date``), so
+a shifted record never fails the read. A record with too many or too few
+fields keeps its text in the column CORRUPT, which the raw layer carries and
+counts. The JSON key names of the orders file are not fixed, so without
 ``orders_schema`` its schema is inferred (one extra pass), as the reference
-does.
+does; with one, records that do not parse are kept in CORRUPT too.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ PRODUCT_COLUMNS = ("Product ID", "Category", "Sub-Category", "Product Name", "St
                    "Price per product")
 
 
+CORRUPT = "corrupt_record"
+
+
 def _text_schema(columns) -> str:
     return ", ".join(f"`{c}` string" for c in columns)
 
@@ -35,8 +40,10 @@ def reference_files(spark: SparkSession, customers: str, products: str, orders:
                     orders_schema: str | None = None, orders_multi_line: bool = True,
                     customers_encoding: str = "latin1") -> Sources:
     return Sources(
-        customers=files.read_csv(spark, customers, _text_schema(CUSTOMER_COLUMNS),
-                                 multi_line=True, encoding=customers_encoding),
-        products=files.read_csv(spark, products, _text_schema(PRODUCT_COLUMNS)),
-        orders=files.read_json(spark, orders, orders_schema, multi_line=orders_multi_line),
+        customers=files.read_csv(spark, customers, _text_schema(CUSTOMER_COLUMNS), multi_line=True,
+                                 encoding=customers_encoding, corrupt_column=CORRUPT),
+        products=files.read_csv(spark, products, _text_schema(PRODUCT_COLUMNS),
+                                corrupt_column=CORRUPT),
+        orders=files.read_json(spark, orders, orders_schema, multi_line=orders_multi_line,
+                               corrupt_column=CORRUPT if orders_schema else None),
     )

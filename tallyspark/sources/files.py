@@ -12,7 +12,8 @@ many files; line-delimited CSV and NDJSON split by block.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Spark's charset lookup rejects the Python-style alias.
@@ -34,19 +35,44 @@ def _with_corrupt(schema: StructType | str | None, corrupt_column: str | None):
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
              *, header: bool = True, multi_line: bool = False, encoding: str = "UTF-8",
              corrupt_column: str | None = None, infer: bool = False, **options) -> DataFrame:
+    """With a header, columns of ``schema`` are found by name: the first file's
+    header gives their order (a read of its first line), a missing one raises
+    ``ValueError``, columns not in the schema are left out, and Spark raises if
+    another file has them in another order. Without a header they go by
+    position."""
     reader = (spark.read.option("header", header).option("multiLine", multi_line)
               .option("encoding", _encoding(encoding)).option("mode", "PERMISSIVE")
               .option("escape", '"'))
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    wanted = None
+    if schema is not None:
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        wanted = [f.name for f in schema.fields] + ([corrupt_column] if corrupt_column else [])
+        if header:
+            schema = _in_header_order(reader.csv(path).columns, schema, path)
+            reader = reader.option("enforceSchema", False)
+    elif infer:
+        reader = reader.option("inferSchema", True)
     if corrupt_column:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        # whole records are parsed, so that a wrong number of fields shows
+        reader = (reader.option("columnNameOfCorruptRecord", corrupt_column)
+                  .option("columnPruning", False))
     schema = _with_corrupt(schema, corrupt_column)
     if schema is not None:
         reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.csv(path)
+    out = reader.csv(path)
+    return out.select(*[F.col(f"`{c}`") for c in wanted]) if wanted else out
+
+
+def _in_header_order(names: list[str], schema: StructType, path) -> StructType:
+    """The schema of a file whose header is ``names``; what is not wanted is text."""
+    fields = {f.name: f for f in schema.fields}
+    missing = [c for c in fields if c not in names]
+    if missing:
+        raise ValueError(f"No column {missing} in the header of {path}: {names}")
+    return StructType([fields.get(c, StructField(c, StringType())) for c in names])
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
@@ -70,16 +96,45 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType | s
 def write_csv(df: DataFrame, path: str, *, header: bool = True, encoding: str = "UTF-8",
               mode: str = "overwrite", **options) -> None:
     """Quoted fields may hold separators, quotes (doubled) and newlines; read
-    such files back with ``multi_line=True``."""
-    writer = (df.write.mode(mode).option("header", header).option("encoding", _encoding(encoding))
-              .option("escape", '"'))
+    such files back with ``multi_line=True``. White space at either end of a
+    value is kept. A character that the encoding lacks fails the write."""
+    charset = _encoding(encoding)
+    if charset.upper() != "UTF-8":
+        df = df.select(*[_encodable(f.name, charset) if isinstance(f.dataType, StringType)
+                         else F.col(f"`{f.name}`") for f in df.schema.fields])
+    writer = (df.write.mode(mode).option("header", header).option("encoding", charset)
+              .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False))
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.csv(path)
 
 
+def _encodable(name: str, charset: str) -> Column:
+    """The column itself, which raises on a character that the charset lacks."""
+    column = F.col(f"`{name}`")
+    return F.decode(F.encode(column, charset), charset).alias(name)
+
+
 def write_json(df: DataFrame, path: str, *, mode: str = "overwrite", **options) -> None:
     writer = df.write.mode(mode)
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.json(path)
+
+
+ARRAY_ROWS = 5000
+
+
+def write_json_arrays(df: DataFrame, path: str, *, mode: str = "overwrite",
+                      array_rows: int = ARRAY_ROWS) -> None:
+    """Pretty-printed JSON arrays, one per file, as exports deliver them. A
+    reader cannot split an array, so none holds more than ``array_rows`` rows."""
+    rows = df.select(
+        F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("row"),
+        F.spark_partition_id().alias("part"),
+        F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / array_rows)
+        .alias("chunk"))
+    arrays = rows.groupBy("part", "chunk").agg(F.concat(
+        F.lit("[\n"), F.array_join(F.collect_list("row"), ",\n"), F.lit("\n]")).alias("value"))
+    arrays.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)

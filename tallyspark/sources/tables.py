@@ -9,7 +9,8 @@ check counts the stored table, which parquet answers from file footers.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,27 @@ def create_database(spark: SparkSession, name: str, location: str | None = None,
     return name
 
 
+@contextmanager
+def current_database(spark: SparkSession, name: str, location: str | None = None) -> Iterator[str]:
+    """Inside, ``name`` (created if missing) is the session's current database;
+    afterwards the one before is again."""
+    before = spark.catalog.currentDatabase()
+    try:
+        yield create_database(spark, name, location, use=True)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def write_table(df: DataFrame, name: str, *, path: str | None = None, fmt: str | None = None,
                 partition_by: Sequence[str] | None = None) -> int:
     """Replace table ``name`` with ``df``; returns the rows written.
 
     ``path`` makes it an external table at that (shared) location; ``fmt``
-    defaults to the session's ``spark.sql.sources.default``."""
+    defaults to the session's ``spark.sql.sources.default``. A partitioned
+    table is replaced whole too, whatever the session's overwrite mode."""
     obs = Observation(f"write_{name.replace('.', '_')}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static")
     if fmt:
         writer = writer.format(fmt)
     if path:
@@ -72,7 +86,7 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
                    gate: Callable[[dict[str, DataFrame]], None] | None = None,
                    fmt: str = "parquet",
                    observe: Mapping[str, Mapping[str, Column]] | None = None,
-                   observed: dict | None = None) -> dict[str, int]:
+                   observed: dict | None = None, keep_versions: int = 2) -> dict[str, int]:
     """Write, check, then publish: each layer is computed once.
 
     1. every table is written once to a new version folder
@@ -83,7 +97,11 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
     2. ``gate`` gets the *stored* versions (a cheap columnar re-read) and can
        use ``observed``; it raises to stop, and nothing has been published
        yet, so the current tables stay as they were;
-    3. each table name is pointed at its new folder (a catalog operation).
+    3. each table name is pointed at its new folder (a catalog operation per
+       table: a failure between two of them leaves some tables new and some
+       old, and a re-run mends it);
+    4. of each table's version folders, the newest ``keep_versions`` stay
+       (readers of the version before can finish); older ones are deleted.
 
     A re-run writes a new version and re-points the name, so the result is
     the same; a run that dies mid-way leaves an unpublished folder behind,
@@ -106,9 +124,24 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
         gate(staged)
     for name, path in paths.items():
         _point(spark, name, path, fmt, tables[name].schema)
+        _drop_old_versions(spark, path, keep_versions)
     return written
 
 
+def _drop_old_versions(spark: SparkSession, current: str, keep: int) -> None:
+    """Deletes all but the newest ``keep`` version folders beside ``current``,
+    and never ``current``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    here = hadoop.Path(current)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    versions = [s for s in fs.listStatus(here.getParent())
+                if s.isDirectory() and s.getPath().getName().startswith("v-")
+                and s.getPath().getName() != here.getName()]
+    versions.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    for status in versions[max(keep, 1) - 1:]:
+        fs.delete(status.getPath(), True)
+
+
 def _point(spark: SparkSession, name: str, path: str, fmt: str, schema) -> None:
     """Make table ``name`` read ``path``. An existing table with the same
     columns is re-pointed in one catalog operation (readers never find it

@@ -116,3 +116,72 @@ def test_publish_repoints_an_existing_table(spark):
     third = spark.range(2).selectExpr("CAST(id AS string) AS id")
     tables.publish_tables(spark, {"t_repoint": third}, root)
     assertDataFrameEqual(spark.table("t_repoint"), third)
+
+
+def test_csv_write_keeps_white_space(spark):
+    df = spark.createDataFrame([(1, "  lead and trail  "), (2, "\tx ")], "id bigint, text string")
+    path = shared_dir(spark, "t-space")
+    files.write_csv(df, path)
+    assertDataFrameEqual(files.read_csv(spark, path, "id bigint, text string"), df)
+
+
+def test_csv_write_refuses_what_the_encoding_lacks(spark):
+    import pytest
+
+    df = spark.createDataFrame([("smörgås",), ("日本",)], "text string")
+    files.write_csv(df.where("text LIKE 's%'"), shared_dir(spark, "t-latin"), encoding="latin1")
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING|ENCODE|unmappable"):
+        files.write_csv(df, shared_dir(spark, "t-latin"), encoding="latin1")
+
+
+def test_csv_columns_by_header(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.csv").write_text("Kind,Thing ID,Extra\nwood,T1,x\n")
+    df = files.read_csv(spark, str(tmp_path), "`Thing ID` string, Kind string")
+    assert [tuple(r) for r in df.collect()] == [("T1", "wood")]
+    with pytest.raises(ValueError, match="Weight"):
+        files.read_csv(spark, str(tmp_path), "`Thing ID` string, Weight double")
+    (tmp_path / "b.csv").write_text("Thing ID,Kind,Extra\nT2,iron,y\n")
+    with pytest.raises(Exception, match="header"):  # another order in another file
+        files.read_csv(spark, str(tmp_path), "`Thing ID` string, Kind string").collect()
+
+
+def test_partitioned_overwrite_replaces_the_whole_table(spark):
+    location = shared_dir(spark, "t-part")
+    mark = location.rsplit("-", 1)[-1][:12]
+    for name, path in ((f"t_ext_{mark}", f"{location}/ext"), (f"t_managed_{mark}", None)):
+        tables.write_table(spark.range(4).selectExpr("id", "id % 2 AS k"), name, path=path,
+                           partition_by=["k"])
+        new = spark.createDataFrame([(9, 1)], "id bigint, k bigint")
+        assert tables.write_table(new, name, path=path, partition_by=["k"]) == 1
+        assertDataFrameEqual(spark.table(name), new)
+
+
+def test_current_database_is_restored(spark):
+    before = spark.catalog.currentDatabase()
+    location = shared_dir(spark, "t-db")
+    name = "t_current_" + location.rsplit("-", 1)[-1][:12]
+    with tables.current_database(spark, name, location):
+        assert spark.catalog.currentDatabase() == name
+        tables.write_table(spark.range(2), "plain_name")
+    assert spark.catalog.currentDatabase() == before
+    assert spark.table(f"{name}.plain_name").count() == 2
+
+
+def test_publishing_keeps_a_bounded_number_of_versions(spark):
+    root = shared_dir(spark, "t-versions")
+    for n in range(4):
+        tables.publish_tables(spark, {"t_versions": spark.range(n + 1)}, root, keep_versions=2)
+    folder = f"{root}/t_versions".replace("file:", "")
+    assert len([d for d in os.listdir(folder) if d.startswith("v-")]) == 2
+    assert spark.table("t_versions").count() == 4
+
+
+def test_json_arrays_one_per_file(spark):
+    path = shared_dir(spark, "t-arrays")
+    df = spark.range(25).selectExpr("id", "CAST(NULL AS string) AS note")
+    files.write_json_arrays(df, path, array_rows=4)
+    texts = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
+    assert len(texts) >= 7 and all(1 <= len(json.loads(t)) <= 4 for t in texts)
+    assertDataFrameEqual(files.read_json(spark, path, "id bigint, note string", multi_line=True), df)
