@@ -13,7 +13,7 @@ import argparse
 import json
 
 from tallyspark.plans import job, landing, layers
-from tallyspark.session import build_session
+from tallyspark.session import build_session, size_shuffles
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -38,15 +38,18 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master)
     if args.mode == "files":
+        size_shuffles(spark, [args.customers, args.products, args.orders])
         src = landing.reference_files(spark, args.customers, args.products, args.orders,
                                       args.orders_schema, orders_multi_line=not args.ndjson)
         run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, args.location,
                              database=args.database, verify_keys=not args.no_verify_keys)
     else:
+        size_shuffles(spark, [f"{args.sf_dir}/lineitem.parquet", f"{args.sf_dir}/orders.parquet"])
         run = job.run(spark, args.sf_dir, args.location, database=args.database,
                       verify_keys=not args.no_verify_keys)
     print(json.dumps({"location": run.location, "written": run.written,
-                      "duplicates_removed": run.duplicates_removed}))
+                      "duplicates_removed": run.duplicates_removed,
+                      "reported": run.reported}))
     for name, df in run.reports.items():
         print(f"-- {name}")
         df.show(args.show, truncate=False)

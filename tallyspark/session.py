@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import os
+import re
+import shlex
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every session of ours carries. AQE re-plans joins and coalesces
@@ -24,22 +29,50 @@ BASE_CONF = {
     # to the shared checkpoint folder) instead of the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
+def _given_at_submit() -> dict[str, str]:
+    """Settings that the cluster or ``spark-submit`` gives, without starting
+    a JVM (whose memory is one of them)."""
+    if SparkContext._active_spark_context is not None or "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()  # a JVM is there
+        return dict(SparkConf().getAll())
+    given = {}
+    home = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    with contextlib.suppress(OSError), open(os.path.join(home, "spark-defaults.conf")) as file:
+        for line in file:
+            parts = line.split("#", 1)[0].split(None, 1)
+            if len(parts) == 2:
+                given[parts[0]] = parts[1].strip()
+    words = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    for word, value in itertools.pairwise(words):
+        if word in ("--conf", "-c") and "=" in value:
+            given.update([value.split("=", 1)])
+        elif word == "--driver-memory":
+            given["spark.driver.memory"] = value
+        elif word == "--master":
+            given["spark.master"] = value
+    return given
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tallyspark", extra: dict | None = None) -> SparkSession:
-    """Local or cluster session with our defaults (cluster settings win when
-    already set by spark-submit)."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(BASE_CONF)
+    """A session with our defaults. A default applies only where neither the
+    cluster, ``spark-submit`` nor a session that already runs sets the value;
+    what the caller passes here always applies."""
+    given = set(_given_at_submit())
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        given |= set(running.conf.getAll)
+    defaults = {**BASE_CONF, "spark.driver.memory": os.environ.get("TALLYSPARK_DRIVER_MEMORY", "8g")}
+    conf = {k: v for k, v in defaults.items() if k not in given}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TALLYSPARK_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -47,24 +80,44 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+BYTES_PER_PARTITION = 128 << 20
+MAX_INITIAL_PARTITIONS = 200_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
-    Only when the session leaves it unset (local runs, tests) do we create a
-    folder of our own and register it, so lineage cuts and scratch writes
-    always land where every executor can read them.
-    """
+def size_shuffles(spark: SparkSession, paths: list[str]) -> int:
+    """Sets the number of shuffle partitions that adaptive execution starts
+    from (and merges down) to the size of the input, unless the cluster sets
+    it: Spark's own 200 would be hundreds of gigabytes each at 100 TB."""
+    context = spark.sparkContext
+    size = 0
+    for path in paths:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(context._jsc.hadoopConfiguration())
+        size += fs.getContentSummary(where).getLength()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(least, -(-size // BYTES_PER_PARTITION)), MAX_INITIAL_PARTITIONS)
+    if not context.getConf().contains(_INITIAL):
+        spark.conf.set(_INITIAL, str(wanted))
+    return wanted
+
+
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Only a
+    session on one machine (local runs, tests) gets a folder of its own where
+    that is unset; anywhere else it raises, as executors could not read it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
-        sc = spark.sparkContext
+        context = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the conf is all there is
-        sc = None
-    root = root or (sc.getCheckpointDir() if sc else None)
+        context = None
+    root = root or (context.getCheckpointDir() if context else None)
     if not root:
-        # Unset: local runs and tests only. A cluster always names a shared one.
+        if context is None or not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root
 
 

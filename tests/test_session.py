@@ -1,0 +1,65 @@
+"""Session settings: what the cluster gives is kept; scratch folders are shared."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+import pytest
+
+from tallyspark import session
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def run(code: str, *conf: str) -> str:
+    """The last line printed by a Spark program submitted with settings."""
+    given = " ".join(f"--conf {c}" for c in conf)
+    env = os.environ | {"PYTHONPATH": ROOT, "PYSPARK_SUBMIT_ARGS": f"{given} pyspark-shell"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    return done.stdout.strip().splitlines()[-1]
+
+
+def test_settings_at_submit_win_over_defaults():
+    code = """
+from tallyspark.session import build_session
+s = build_session("local[1]")
+print(*(s.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.skewJoin.enabled",
+                                "spark.sql.adaptive.forceOptimizeSkewedJoin")))
+"""
+    got = run(code, "spark.sql.session.timeZone=Asia/Tokyo", "spark.sql.adaptive.skewJoin.enabled=false")
+    assert got == "Asia/Tokyo false true"
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine(monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_shuffles_sized_to_the_input(spark, sf_dir, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert session.size_shuffles(spark, [f"{sf_dir}/nation.parquet"]) == least
+        monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1024)
+        many = session.size_shuffles(spark, [f"{sf_dir}/lineitem.parquet"])
+        assert many > 100 and spark.conf.get(key) == str(many)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
