@@ -6,16 +6,17 @@ decoding — are projections, so they apply to a streaming DataFrame as is.
 What changes is the keyed work:
 
 * de-duplication is ``dropDuplicatesWithinWatermark`` on the business key,
-  with the landing time of each file (``_metadata.file_modification_time``)
-  as event time. Lines arrive in no particular order-date order, so the
-  order date would make a late-arriving line look "late" and drop it; the
-  landing time only moves forward, so no line is ever dropped, copies that
-  land within ``delay`` of each other collapse to one, and state stays
-  bounded by the delay rather than the whole history. Which copy survives is
-  the first to arrive (the batch layer keeps the lowest price; see
+  with the time a line is read (``current_timestamp`` of its micro-batch) as
+  event time. Neither the order date nor a file's own time moves forward with
+  arrival (files are copied with old times, and back-filled), so a watermark
+  on them would drop lines as late; the reading time cannot be late. Copies
+  read within ``delay`` of each other collapse to one, and state stays bounded
+  by the delay rather than the whole history. Which copy survives is the first
+  to arrive (the batch layer keeps the lowest price; see
   ``layers.DEFAULT_SPECS``).
-* enrichment is a stream-static left join against the current customer and
-  product tables.
+* enrichment is a stream-static left join against the customer and product
+  tables: pass stored ones, as a lazy plan would run again in every
+  micro-batch.
 * the sink is ``foreachBatch``: each micro-batch replaces its own
   ``batch_id`` partition, so a batch replayed after a failure overwrites
   rather than duplicates, and the checkpoint lives under the shared
@@ -38,8 +39,11 @@ EVENT_TIME = "_event_time"
 
 
 def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "json",
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format(fmt)
+               max_files_per_trigger: int | None = None, max_file_age: str = "36500d") -> DataFrame:
+    """Spark forgets, and skips, files this much older than the newest it has
+    seen (its own default is a week), so a shorter age bounds the list of files
+    it remembers but must exceed how late a file can land."""
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -47,9 +51,9 @@ def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "json",
 
 def raw_order_stream(stream: DataFrame, key: KeySpec = ("order_id", "line_number"),
                      delay: str = "1 day") -> DataFrame:
-    """Raw-layer treatment of a stream of source order lines (read from
-    files: the landing time of each file is the event time)."""
-    landed = stream.withColumn(EVENT_TIME, F.col("_metadata.file_modification_time"))
+    """Raw-layer treatment of a stream of source order lines; the time of
+    reading is the event time."""
+    landed = stream.withColumn(EVENT_TIME, F.current_timestamp())
     out = trim_string_columns(standardize_column_names(landed))
     return (out.withWatermark(EVENT_TIME, delay)
             .dropDuplicatesWithinWatermark(key_list(key))

@@ -31,7 +31,7 @@ def main() -> None:
     spark = build_session("local[8]", 8)
     base = shared_dir(spark, "watermark-check")
     files.write_json(star.order_source(spark, sf_dir).repartition(5), f"{base}/landing")
-    expected = star_enriched(spark, sf_dir).orders.count()
+    expected = star_enriched(spark, sf_dir).count()
 
     def stream():
         return ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA,
