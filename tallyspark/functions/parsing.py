@@ -16,6 +16,8 @@ DEFAULT_DATE_FORMAT = "d/M/yyyy"
 MONEY_PRECISION = 18
 # Places kept while summing amounts; totals are rounded once at the end.
 SUM_SCALE = 6
+# A total is wider than any one amount.
+TOTAL_PRECISION = 38
 
 
 def _col(c: str | Column) -> Column:
@@ -37,6 +39,12 @@ def money(c: str | Column, scale: int = 2) -> Column:
     return _col(c).cast(f"decimal({MONEY_PRECISION},{scale})")
 
 
+def total(c: str | Column, scale: int = SUM_SCALE) -> Column:
+    """Exact sum of a column of amounts, or of totals of amounts. Totals reach
+    beyond what an order line can, so they are carried with all 38 digits."""
+    return F.sum(_col(c).cast(f"decimal({TOTAL_PRECISION},{scale})"))
+
+
 def round_money(c: str | Column, scale: int = 2) -> Column:
     """Round half away from zero to ``scale`` places, keeping the input type."""
     return F.round(_col(c), scale)

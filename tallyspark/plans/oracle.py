@@ -16,12 +16,13 @@ Engine differences handled here:
 
 from __future__ import annotations
 
-from tallyspark.plans.star import (
-    CATALOG_MAX_SIZE,
-    MISALIGNED_SIZE,
-    STAR_CATEGORY_CODES,
-    STAR_SUB_CATEGORY_CODES,
-)
+# The rules' values, written out here and not taken from the code under test.
+CATALOG_MAX_SIZE = 49
+MISALIGNED_SIZE = 1
+YEARS = (1995, 2001)
+CATEGORIES = {"ECO": "ECONOMY", "LAR": "LARGE", "MED": "MEDIUM", "PRO": "PROMO", "SMA": "SMALL",
+              "STA": "STANDARD"}
+SUB_CATEGORIES = {f"{n:02d}": f"Brand#{n}" for n in range(1, 26)}
 
 JAVA_SPACE = r"[ \t\n\x0B\f\r]"
 
@@ -48,7 +49,10 @@ DATE_TEXT = "'%-d/%-m/%Y'"
 
 RAW_CUSTOMERS = """
 raw_customers AS (
-  SELECT c.c_custkey AS customer_id, c.c_name AS customer_name, c.c_mktsegment AS segment,
+  SELECT c.c_custkey AS customer_id,
+         upper(substr(translate(substr(c.c_name, 10), '0123456789', 'abcdefghij'), 1, 1)) || '4@'
+           || substr(translate(substr(c.c_name, 10), '0123456789', 'abcdefghij'), 2)
+           || ' 7Trading$' AS customer_name, c.c_mktsegment AS segment,
          n.n_name AS country, r.r_name AS region, n.n_name || chr(10) || r.r_name AS address
   FROM customer c
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -60,6 +64,13 @@ raw_products AS (
          p_type AS category, p_brand AS sub_category, p_name AS product_name,
          CASE WHEN p_size = {MISALIGNED_SIZE} THEN p_brand
               ELSE CAST(p_retailprice AS VARCHAR) END AS price_per_product
+  FROM part)"""
+
+# The products of enrichment.
+CATALOG = f"""
+catalog AS (
+  SELECT {product_code_sql('p_type', 'p_brand', 'p_partkey')} AS product_id,
+         p_type AS category, p_brand AS sub_category
   FROM part WHERE p_size <= {CATALOG_MAX_SIZE})"""
 
 # Candidate order lines before de-duplication (source rows, standardised names).
@@ -70,21 +81,22 @@ order_lines AS (
          strftime(o.o_orderdate, {DATE_TEXT}) AS order_date_text,
          strftime(l.l_shipdate, {DATE_TEXT}) AS ship_date_text,
          o.o_custkey AS customer_id,
-         {product_code_sql('p.p_type', 'p.p_brand', 'l.l_partkey')} AS product_id,
+         CASE WHEN p.p_partkey IS NOT NULL THEN
+           {product_code_sql('p.p_type', 'p.p_brand', 'l.l_partkey')} END AS product_id,
          CAST(l.l_quantity AS BIGINT) AS quantity, l.l_extendedprice AS price,
          l.l_discount AS discount,
          CAST(CAST(l.l_extendedprice AS DECIMAL(18,2))
               * (CAST(0.04 AS DECIMAL(4,2)) - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))
            AS profit
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey)"""
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 RAW_ORDERS = """
 raw_orders AS (
   SELECT * FROM order_lines
   QUALIFY row_number() OVER (PARTITION BY order_id, line_number
-                             ORDER BY price, ship_date_text) = 1)"""
+                             ORDER BY price, ship_ts) = 1)"""
 
 ENRICHED_CUSTOMERS = f"""
 enriched_customers AS (
@@ -104,15 +116,15 @@ enriched_orders AS (
          CAST(o.ship_ts AS DATE) AS ship_date, o.customer_id, o.product_id, o.quantity,
          o.price, o.discount, CAST(ROUND(o.profit, 2) AS DOUBLE) AS profit,
          c.customer_name, c.country,
-         COALESCE(p.category, {_case('substr(o.product_id, 1, 3)', STAR_CATEGORY_CODES)})
+         COALESCE(p.category, {_case('substr(o.product_id, 1, 3)', CATEGORIES)})
            AS category,
-         COALESCE(p.sub_category, {_case('substr(o.product_id, 5, 2)', STAR_SUB_CATEGORY_CODES)})
+         COALESCE(p.sub_category, {_case('substr(o.product_id, 5, 2)', SUB_CATEGORIES)})
            AS sub_category
   FROM raw_orders o
   LEFT JOIN enriched_customers c ON o.customer_id = c.customer_id
-  LEFT JOIN enriched_products p ON o.product_id = p.product_id)"""
+  LEFT JOIN catalog p ON o.product_id = p.product_id)"""
 
-STAR = "WITH " + ",".join([RAW_CUSTOMERS, RAW_PRODUCTS, ORDER_LINES, RAW_ORDERS,
+STAR = "WITH " + ",".join([RAW_CUSTOMERS, RAW_PRODUCTS, CATALOG, ORDER_LINES, RAW_ORDERS,
                            ENRICHED_CUSTOMERS, ENRICHED_PRODUCTS, ENRICHED_ORDERS])
 
 
@@ -197,12 +209,12 @@ seen AS (SELECT DISTINCT category FROM summary),
 rules AS (
   SELECT 'accepted_values' AS rule, COUNT(*) AS checked,
          COUNT(*) FILTER (WHERE category IS NULL OR category NOT IN
-             ({", ".join(f"'{c}'" for c in sorted(STAR_CATEGORY_CODES.values()))})) AS failed
+             ({", ".join(f"'{c}'" for c in sorted(CATEGORIES.values()))})) AS failed
   FROM seen
   UNION ALL
-  SELECT 'expected_values_present', {len(STAR_CATEGORY_CODES)},
-         {len(STAR_CATEGORY_CODES)} - COUNT(*) FILTER (WHERE category IN
-             ({", ".join(f"'{c}'" for c in sorted(STAR_CATEGORY_CODES.values()))}))
+  SELECT 'expected_values_present', {len(CATEGORIES)},
+         {len(CATEGORIES)} - COUNT(*) FILTER (WHERE category IN
+             ({", ".join(f"'{c}'" for c in sorted(CATEGORIES.values()))}))
   FROM seen)
 SELECT rule, 'agg_profit_summary' AS subject, CAST(checked AS BIGINT) AS checked,
        CAST(failed AS BIGINT) AS failed, failed = 0 AS passed
@@ -257,9 +269,7 @@ _ENRICHED_FAILING = {
 
 
 def _quality_report_sql() -> str:
-    from tallyspark.plans.star import STAR_YEARS
-
-    failing = {k: v.format(lo=STAR_YEARS[0], hi=STAR_YEARS[1])
+    failing = {k: v.format(lo=YEARS[0], hi=YEARS[1])
                for k, v in _ENRICHED_FAILING.items()}
     cte, sel = _row_rules_sql("enriched_orders", "enriched_orders",
                               ["order_id", "line_number"], failing)
@@ -268,6 +278,10 @@ counts AS (
   SELECT (SELECT COUNT(*) FROM raw_orders) AS l, (SELECT COUNT(*) FROM enriched_orders) AS r)"""
     selects = [
         sel,
+        "SELECT 'not_empty', 'enriched_products', COUNT(*), CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END "
+        "FROM raw_products",
+        "SELECT 'unparsed_price', 'enriched_products', COUNT(*), COUNT(*) FILTER (WHERE price_per_product "
+        "IS NOT NULL AND TRY_CAST(price_per_product AS DOUBLE) IS NULL) FROM raw_products",
         "SELECT 'row_count_match', 'orders after joins', l, abs(l - r) FROM counts",
         "SELECT 'required_columns', 'enriched_orders', 8, 0",
         "SELECT 'column_types', 'enriched_orders', 2, 0",
@@ -280,7 +294,8 @@ def _raw_quality_sql() -> str:
     ctes, selects = [], []
     for table, keys in (("raw_customers", ["customer_id"]), ("raw_products", ["product_id"]),
                         ("raw_orders", ["order_id", "line_number"])):
-        cte, sel = _row_rules_sql(table, table, keys, {})
+        failing = {"unmatched_order": "customer_id IS NULL", "unmatched_part": "product_id IS NULL"}
+        cte, sel = _row_rules_sql(table, table, keys, failing if table == "raw_orders" else {})
         ctes.append(cte)
         selects.append(sel)
     selects += [
@@ -299,6 +314,9 @@ ORACLE["q_raw_quality"] = _raw_quality_sql()
 
 ORACLE["q_csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE["q_json_roundtrip"] = ORACLE["q_standardize_columns"]
+ORACLE["q_json_array"] = ORACLE["q_standardize_columns"]
+ORACLE["q_stream_enriched_orders"] = STAR + """
+SELECT order_id, line_number, order_date, customer_id, customer_name, country FROM enriched_orders"""
 ORACLE["q_overwrite_idempotent"] = ORACLE["q_enrich_orders"]
 ORACLE["q_raw_layer"] = STAR + """
 SELECT 'raw_customers' AS "table", COUNT(*) AS "rows" FROM raw_customers

@@ -6,12 +6,13 @@ Names follow SURVEY §7.3; the inventory ids each one covers are noted."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyspark.functions.names import standardized_name
 from tallyspark.operators import aggregate as agg
 from tallyspark.operators import quality as qa
 from tallyspark.operators.enrich import Dimension, enrich
@@ -38,17 +39,60 @@ SUMMARY_REQUIRED = layers.SUMMARY_REQUIRED
 
 
 def star_raw(spark: SparkSession, sf_dir: str) -> layers.Layer:
-    return layers.raw_layer(star.sources(spark, sf_dir))
-
-
-def star_enriched(spark: SparkSession, sf_dir: str) -> layers.Layer:
-    return layers.enriched_layer(star_raw(spark, sf_dir), star.STAR_CATEGORY_CODES,
-                                 star.STAR_SUB_CATEGORY_CODES)
+    """The raw layer over every customer, part and order line."""
+    return layers.Layer(
+        layers.standardize(star.customer_source(spark, sf_dir), layers.DEFAULT_SPECS["customers"]),
+        layers.standardize(star.product_source(spark, sf_dir), layers.DEFAULT_SPECS["products"]),
+        raw_orders(spark, sf_dir))
+
+
+def raw_orders(spark: SparkSession, sf_dir: str,
+               columns: Sequence[str] = star.ORDER_COLUMNS) -> DataFrame:
+    """Raw order lines (one per key) with the source columns asked for; copies
+    are removed before the joins."""
+    lines = star.first_line_items(spark, sf_dir)
+    return trim_string_columns(standardize_column_names(
+        star.order_source(spark, sf_dir, columns, lines)))
+
+
+ENRICHED = ("order_id", "line_number", "order_date", "ship_date", "customer_id", "product_id",
+            "quantity", "price", "discount", "profit", "customer_name", "country", "category",
+            "sub_category")
+
+
+def star_enriched(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ENRICHED) -> DataFrame:
+    """Enriched order lines with the columns asked for; a dimension is joined
+    only if it brings one of them."""
+    wanted = set(columns)
+    customers = products = None
+    if wanted & {"customer_name", "country"}:
+        wanted.add("customer_id")
+        customers = layers.enriched_customers(layers.standardize(
+            star.customer_source(spark, sf_dir), layers.DEFAULT_SPECS["customers"]))
+    if wanted & {"category", "sub_category"}:
+        wanted.add("product_id")
+        products = layers.enriched_products(layers.standardize(
+            star.catalog_source(spark, sf_dir), layers.DEFAULT_SPECS["products"]))
+    source = [c for c in star.ORDER_COLUMNS if standardized_name(c) in wanted]
+    return layers.enriched_orders(
+        raw_orders(spark, sf_dir, source), customers, products, star.STAR_CATEGORY_CODES,
+        star.STAR_SUB_CATEGORY_CODES).select(*[c for c in ENRICHED if c in columns])
+
+
+SUMMARY_INPUT = ("order_id", "order_date", "price", "profit", "customer_name", "category",
+                 "sub_category")
+REPORT_INPUT = {
+    "profit_by_year": ("order_id", "order_date", "profit"),
+    "profit_by_year_category": ("order_id", "order_date", "profit", "category"),
+    "profit_by_customer": ("order_id", "customer_id", "customer_name", "profit"),
+    "profit_by_customer_year": ("order_id", "order_date", "customer_id", "customer_name", "profit"),
+}
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str,
+                columns: Sequence[str] = star.ORDER_COLUMNS) -> DataFrame:
     """Every source order line (before de-duplication), standard names."""
-    return standardize_column_names(star.order_source(spark, sf_dir))
+    return standardize_column_names(star.order_source(spark, sf_dir, columns))
 
 
 def _profit_as_double(df: DataFrame) -> DataFrame:
@@ -75,13 +119,15 @@ def q_trim_strings(spark, sf_dir):
 
 def q_round_money(spark, sf_dir):
     """Line profit rounded to cents."""
-    return (round_profit(order_lines(spark, sf_dir))
+    lines = order_lines(spark, sf_dir, ("Order ID", "Line Number", "Profit"))
+    return (round_profit(lines)
             .select(*ORDER_KEY, F.col("profit").cast("double").alias("profit")))
 
 
 def q_parse_date(spark, sf_dir):
     """d/M/yyyy text → date, NULL when malformed."""
-    out = parse_date_column(order_lines(spark, sf_dir), "order_date")
+    out = parse_date_column(
+        order_lines(spark, sf_dir, ("Order ID", "Line Number", "Order Date", "Ship Date")), "order_date")
     return parse_date_column(out, "ship_date").select(*ORDER_KEY, "order_date", "ship_date")
 
 
@@ -92,7 +138,7 @@ def q_try_cast_price(spark, sf_dir):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.spread(star.table(spark, sf_dir, "documents"), "doc_id")
+    return star.table(spark, sf_dir, "documents")
 
 
 def q_normalize_newlines(spark, sf_dir):
@@ -109,25 +155,24 @@ def q_clean_name_documents(spark, sf_dir):
 
 def q_enriched_customers(spark, sf_dir):
     """L2: customer names cleaned and addresses on one line."""
-    return star_enriched(spark, sf_dir).customers
+    return layers.enriched_customers(star_raw(spark, sf_dir).customers)
 
 
 # --- W1, V1, V2: keyed operators and profiles -------------------------------
 
 def q_dedup_keep_one(spark, sf_dir):
     """One row per (order_id, line_number): lowest price, then ship date."""
-    return _profit_as_double(remove_duplicate_keys(order_lines(spark, sf_dir), list(ORDER_KEY),
-                                                   order_by=["price", "ship_date"]))
+    return _profit_as_double(raw_orders(spark, sf_dir))
 
 
 def q_duplicate_summary(spark, sf_dir):
     """Order-line keys that occur more than once, with counts."""
-    return duplicate_summary(order_lines(spark, sf_dir), list(ORDER_KEY))
+    return duplicate_summary(order_lines(spark, sf_dir, ("Order ID", "Line Number")), list(ORDER_KEY))
 
 
 def q_null_summary(spark, sf_dir):
     """V1: NULLs per column of the enriched order lines."""
-    return qa.null_summary(star_enriched(spark, sf_dir).orders)
+    return qa.null_summary(star_enriched(spark, sf_dir))
 
 
 # --- J1, J2, C9-C12, L4: enrichment -------------------------------------------
@@ -135,51 +180,45 @@ def q_null_summary(spark, sf_dir):
 def q_derive_code(spark, sf_dir):
     """Category / sub-category after the product join, gaps decoded
     from the codes in the product id."""
-    raw = star_raw(spark, sf_dir)
-    joined = enrich(layers.typed_orders(raw.orders), [
-        Dimension(layers.enriched_products(raw.products), "product_id",
-                  ("category", "sub_category"))])
-    decoded = derive_category_from_product_id(joined, star.STAR_CATEGORY_CODES,
-                                              star.STAR_SUB_CATEGORY_CODES)
-    return decoded.select(*ORDER_KEY, "product_id", "category", "sub_category")
+    return star_enriched(spark, sf_dir, (*ORDER_KEY, "product_id", "category", "sub_category"))
 
 
 def q_enrich_orders(spark, sf_dir):
     """The denormalised order lines."""
-    return star_enriched(spark, sf_dir).orders
+    return star_enriched(spark, sf_dir)
 
 
 # --- A1-A5, O1-O3: aggregates and reports ------------------------------------
 
 def q_profit_summary(spark, sf_dir):
     """Profit by year, category, sub-category, customer name."""
-    return layers.aggregated_layer(star_enriched(spark, sf_dir).orders)
+    return layers.aggregated_layer(star_enriched(spark, sf_dir, SUMMARY_INPUT))
 
 
 def q_profit_by_year(spark, sf_dir):
     """A2."""
-    return agg.profit_by_year(star_enriched(spark, sf_dir).orders)
+    return agg.profit_by_year(star_enriched(spark, sf_dir, REPORT_INPUT["profit_by_year"]))
 
 
 def q_profit_by_year_category(spark, sf_dir):
     """A3."""
-    return agg.profit_by_year_category(star_enriched(spark, sf_dir).orders)
+    return agg.profit_by_year_category(star_enriched(spark, sf_dir, REPORT_INPUT["profit_by_year_category"]))
 
 
 def q_profit_by_customer(spark, sf_dir):
     """A4, O2."""
-    return agg.profit_by_customer(star_enriched(spark, sf_dir).orders)
+    return agg.profit_by_customer(star_enriched(spark, sf_dir, REPORT_INPUT["profit_by_customer"]))
 
 
 def q_profit_by_customer_year(spark, sf_dir):
     """A5, O1."""
-    return agg.profit_by_customer_year(star_enriched(spark, sf_dir).orders)
+    return agg.profit_by_customer_year(star_enriched(spark, sf_dir, REPORT_INPUT["profit_by_customer_year"]))
 
 
 def _sql_report(spark, sf_dir, name):
     """The report as SQL text over a view of the enriched lines."""
     view = f"enriched_orders_{uuid.uuid4().hex[:12]}"
-    star_enriched(spark, sf_dir).orders.createOrReplaceTempView(view)
+    star_enriched(spark, sf_dir, REPORT_INPUT[name]).createOrReplaceTempView(view)
     return spark.sql(agg.report_sql(view, name))
 
 
@@ -213,19 +252,21 @@ def q_top_n_groups(spark, sf_dir):
 
 def q_reconcile(spark, sf_dir):
     """Enriched total profit equals the summary's total."""
-    enriched = star_enriched(spark, sf_dir).orders
+    path = shared_dir(spark, "reconcile")
+    star_enriched(spark, sf_dir, SUMMARY_INPUT).write.parquet(path)  # enriched once, read twice
+    enriched = spark.read.parquet(path)
     return qa.money_totals(enriched, layers.aggregated_layer(enriched))
 
 
 def q_accepted_values(spark, sf_dir):
     """V9: the summary's categories are exactly the catalog's six."""
-    summary = layers.aggregated_layer(star_enriched(spark, sf_dir).orders)
+    summary = layers.aggregated_layer(star_enriched(spark, sf_dir, SUMMARY_INPUT))
     return qa.accepted_values(summary, "category", star.STAR_CATEGORIES, "agg_profit_summary")
 
 
 def q_distinct_domain(spark, sf_dir):
     """A10: distinct categories of the enriched order lines."""
-    return star_enriched(spark, sf_dir).orders.select("category").distinct()
+    return star_enriched(spark, sf_dir, ("category",)).distinct()
 
 
 def enriched_rules(raw_orders: DataFrame, enriched: DataFrame) -> DataFrame:
@@ -236,7 +277,7 @@ def enriched_rules(raw_orders: DataFrame, enriched: DataFrame) -> DataFrame:
                      match_rows={"orders after joins": raw_orders}, failing={
             "null_category": F.col("category").isNull(),
             "null_sub_category": F.col("sub_category").isNull(),
-            "unparsed_date": F.col("order_date").isNull() | F.col("ship_date").isNull(),
+            "unparsed_date": layers.unparsed_date(),
             "unrounded_profit": F.col("profit") != F.round("profit", 2),
             "dirty_customer_name": F.col("customer_name").rlike("[0-9@#$%^&*]"),
             "year_out_of_range": ~year.between(lo, hi),
@@ -251,10 +292,9 @@ def enriched_rules(raw_orders: DataFrame, enriched: DataFrame) -> DataFrame:
 
 def q_quality_report(spark, sf_dir):
     """The enriched layer's rule table."""
-    raw = star_raw(spark, sf_dir)
-    enriched = layers.enriched_layer(raw, star.STAR_CATEGORY_CODES,
-                                     star.STAR_SUB_CATEGORY_CODES).orders
-    return enriched_rules(raw.orders, enriched)
+    lines = raw_orders(spark, sf_dir, ("Order ID", "Line Number"))
+    return qa.combine(enriched_rules(lines, star_enriched(spark, sf_dir)),
+                      layers.price_rules(star_raw(spark, sf_dir).products))
 
 
 def raw_rules(raw: layers.Layer) -> DataFrame:
@@ -309,17 +349,25 @@ def q_json_roundtrip(spark, sf_dir):
     return _profit_as_double(standardize_column_names(back))
 
 
+def q_json_array(spark, sf_dir):
+    """S3: the order-line source as pretty-printed JSON arrays, one per file,
+    read back with ``multiLine`` and an explicit schema."""
+    path = shared_dir(spark, "json-array")
+    files.write_json_arrays(star.order_source(spark, sf_dir), path)
+    back = files.read_json(spark, path, ORDER_SOURCE_SCHEMA, multi_line=True)
+    return _profit_as_double(standardize_column_names(back))
+
+
 def q_overwrite_idempotent(spark, sf_dir):
-    """The enriched table written twice with overwrite into
-    a database of its own reads back as one copy."""
+    """The enriched table written twice with overwrite, by its
+    plain name in a current schema of its own, reads back as one copy."""
     location = shared_dir(spark, "tables")
-    database = tables.create_database(spark, "sales_" + location.rsplit("-", 1)[-1][:12],
-                                      location)
-    name = f"{database}.enriched_orders"
-    enriched = star_enriched(spark, sf_dir).orders
-    for _ in range(2):
-        tables.write_table(enriched, name)
-    return spark.table(name)
+    database = "sales_" + location.rsplit("-", 1)[-1][:12]
+    enriched = star_enriched(spark, sf_dir)
+    with tables.current_database(spark, database, location):
+        for _ in range(2):
+            tables.write_table(enriched, "enriched_orders")
+    return spark.table(f"{database}.enriched_orders")
 
 
 def q_raw_layer(spark, sf_dir):
@@ -340,23 +388,31 @@ def q_raw_layer(spark, sf_dir):
     return counts.withColumn("table", F.regexp_replace("table", f"_{suffix}$", ""))
 
 
+STREAM_COLUMNS = ("order_id", "line_number", "order_date", "customer_id", "customer_name", "country")
+
+
 def q_stream_enriched_orders(spark, sf_dir):
     """Extension: the order-line source lands as NDJSON files and is ingested
-    by a Structured Streaming query (raw → enriched) until caught up. One row
-    per order line, like the batch layer; the surviving copy of a duplicated
-    line is the first to arrive, so only the rows are comparable."""
+    by a Structured Streaming query (raw → enriched) until caught up, against
+    stored dimensions. One row per key, like the batch layer; which copy of a
+    line survives is the first to arrive, so the result has the columns that
+    the key determines."""
     from tallyspark.streaming import ingest
 
     base = shared_dir(spark, "stream")
     files.write_json(star.order_source(spark, sf_dir), f"{base}/landing")
     raw = star_raw(spark, sf_dir)
-    enriched = layers.enriched_layer(raw, star.STAR_CATEGORY_CODES, star.STAR_SUB_CATEGORY_CODES)
+    dimensions = []
+    for name, df in (("customers", layers.enriched_customers(raw.customers)),
+                     ("products", layers.enriched_products(layers.standardize(
+                         star.catalog_source(spark, sf_dir), layers.DEFAULT_SPECS["products"])))):
+        df.write.parquet(f"{base}/{name}")
+        dimensions.append(spark.read.schema(df.schema).parquet(f"{base}/{name}"))
     stream = ingest.enriched_order_stream(
-        ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA),
-        enriched.customers, enriched.products,
+        ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA), *dimensions,
         star.STAR_CATEGORY_CODES, star.STAR_SUB_CATEGORY_CODES)
     ingest.run_available(stream, f"{base}/enriched", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/enriched").drop("batch_id")
+    return spark.read.parquet(f"{base}/enriched").select(*STREAM_COLUMNS)
 
 
 QUERIES: dict[str, Query] = {

@@ -7,19 +7,25 @@ that carry their category codes. This module derives exactly that from the
 parquet tables, lazily, so every source grows with the data it is read from.
 
 Source facts:
-* customers  ← customer ⋈ nation ⋈ region; the address is "nation\\nregion".
+* customers  ← customer ⋈ nation ⋈ region; the address is "nation\\nregion". The
+  name spells the customer's number in letters, with the noise of an export
+  (see ``customer_name``), so cleaned names differ between customers.
 * products   ← part. Id = first three letters of ``p_type`` - two-digit brand
-  number - part key, so characters 1-3 and 5-6 hold the codes. Parts larger
-  than ``CATALOG_MAX_SIZE`` are not in the catalog, so their order lines find
-  no product row and enrichment must decode the id; parts of size
+  number - part key, so characters 1-3 and 5-6 hold the codes. Parts of size
   ``MISALIGNED_SIZE`` carry brand text in the price field (a shifted record).
-* order lines ← lineitem ⋈ orders ⋈ part. ``(Order ID, Line Number)`` is the
-  business key and is *not* unique in lineitem; profit is
+  The product *dimension* of enrichment lacks parts larger than
+  ``CATALOG_MAX_SIZE``, so their order lines find no product row and the id
+  must be decoded; the product source itself holds every part.
+* order lines ← lineitem, with orders and part joined on the left: a line
+  without an order or part stays, with NULL in what it would have brought
+  (``unmatched_order`` and ``unmatched_part`` count them). ``(Order ID, Line
+  Number)`` is the business key and is *not* unique in lineitem; profit is
   ``price × (0.04 − discount)`` in exact decimal arithmetic.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,26 +80,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-SPREAD_PER_SPLIT = 64
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a scan by ``keys`` only when it yields fewer input
-    splits than the session has cores (parquet splits at row groups, so one
-    large row group is one task). Large inputs already have more splits than
-    cores and are returned untouched: no extra shuffle at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
-        return df
-    if splits >= cores:
-        return df
-    # one partition per core, but at most SPREAD_PER_SPLIT per input split, so
-    # a small file on a large cluster is not cut into thousands of slivers
-    return df.repartition(min(cores, SPREAD_PER_SPLIT * max(splits, 1)), *keys)
-
-
 def product_code(p_type: str | Column, p_brand: str | Column, partkey: str | Column) -> Column:
     """``TYP-BB-KEY``: type prefix, two-digit brand number, part key."""
     c = lambda x: F.col(x) if isinstance(x, str) else x
@@ -105,6 +91,15 @@ def product_code(p_type: str | Column, p_brand: str | Column, partkey: str | Col
     )
 
 
+def customer_name(c_name: str | Column) -> Column:
+    """The number of ``Customer#000000123`` in letters, as a noisy two-word name
+    that cleaning turns into e.g. ``Aaaaaabcd Trading``."""
+    c = F.col(c_name) if isinstance(c_name, str) else c_name
+    letters = F.translate(F.substring(c, 10, 1 << 20), "0123456789", "abcdefghij")
+    return F.concat(F.upper(F.substring(letters, 1, 1)), F.lit("4@"),
+                    F.substring(letters, 2, 1 << 20), F.lit(" 7Trading$"))
+
+
 def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -115,7 +110,7 @@ def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
         .select(
             F.col("c_custkey").alias("Customer ID"),
-            F.col("c_name").alias("Customer Name"),
+            customer_name("c_name").alias("Customer Name"),
             F.col("c_mktsegment").alias("Segment"),
             F.col("n_name").alias("Country"),
             F.col("r_name").alias("Region"),
@@ -125,18 +120,23 @@ def customer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    return (
-        part
-        .filter(F.col("p_size") <= CATALOG_MAX_SIZE)
-        .select(
-            product_code("p_type", "p_brand", "p_partkey").alias("Product ID"),
-            F.col("p_type").alias("Category"),
-            F.col("p_brand").alias("Sub-Category"),
-            F.col("p_name").alias("Product Name"),
-            F.when(F.col("p_size") == MISALIGNED_SIZE, F.col("p_brand"))
-             .otherwise(F.col("p_retailprice").cast("string")).alias("Price per product"),
-        )
+    """Every part."""
+    return _products(table(spark, sf_dir, "part"))
+
+
+def catalog_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products of enrichment: without parts larger than ``CATALOG_MAX_SIZE``."""
+    return _products(table(spark, sf_dir, "part").filter(F.col("p_size") <= CATALOG_MAX_SIZE))
+
+
+def _products(part: DataFrame) -> DataFrame:
+    return part.select(
+        product_code("p_type", "p_brand", "p_partkey").alias("Product ID"),
+        F.col("p_type").alias("Category"),
+        F.col("p_brand").alias("Sub-Category"),
+        F.col("p_name").alias("Product Name"),
+        F.when(F.col("p_size") == MISALIGNED_SIZE, F.col("p_brand"))
+         .otherwise(F.col("p_retailprice").cast("string")).alias("Price per product"),
     )
 
 
@@ -147,33 +147,54 @@ def line_profit(price: str | Column, discount: str | Column) -> Column:
     return (c(price).cast("decimal(18,2)") * margin).cast("decimal(18,4)")
 
 
-def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Spread by order key: the de-duplication on (order_id, line_number) and
-    # the orders join are clustered by it, so this is the only fact shuffle
-    # until enrichment when the dimensions are broadcast.
-    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
-    orders = table(spark, sf_dir, "orders")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    # Part first, orders last: when these are shuffle joins, the output stays
-    # hash-partitioned by order key, which already clusters the raw layer's
-    # (order_id, line_number) de-duplication, so that needs no shuffle of its own.
-    return (
-        lineitem
-        .join(part, lineitem.l_partkey == part.p_partkey)
-        .join(orders, lineitem.l_orderkey == orders.o_orderkey)
-        .select(
-            F.col("l_orderkey").alias("Order ID"),
-            F.col("l_linenumber").alias("Line Number"),
-            F.date_format("o_orderdate", SOURCE_DATE_FORMAT).alias("Order Date"),
-            F.date_format("l_shipdate", SOURCE_DATE_FORMAT).alias("Ship Date"),
-            F.col("o_custkey").alias("Customer ID"),
-            product_code("p_type", "p_brand", "l_partkey").alias("Product ID"),
-            F.col("l_quantity").cast("bigint").alias("Quantity"),
-            F.col("l_extendedprice").alias("Price"),
-            F.col("l_discount").alias("Discount"),
-            line_profit("l_extendedprice", "l_discount").alias("Profit"),
-        )
-    )
+ORDER_COLUMNS = ("Order ID", "Line Number", "Order Date", "Ship Date", "Customer ID", "Product ID",
+                 "Quantity", "Price", "Discount", "Profit")
+_FROM_ORDERS = {"Order Date", "Customer ID"}
+_FROM_PART = {"Product ID"}
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of lineitem that order lines are made of."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_shipdate")
+
+
+def first_line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, line): the lowest price, then the earliest ship date.
+    Everything else in an order line depends on these rows, so removing copies
+    here, before any join, gives the lines that removing them after would."""
+    from tallyspark.operators.keyed import remove_duplicate_keys
+
+    return remove_duplicate_keys(line_items(spark, sf_dir), ["l_orderkey", "l_linenumber"],
+                                 order_by=["l_extendedprice", "l_shipdate"])
+
+
+def order_source(spark: SparkSession, sf_dir: str, columns: Sequence[str] = ORDER_COLUMNS,
+                 lines: DataFrame | None = None) -> DataFrame:
+    """Order lines with the columns asked for. A table is only joined if it
+    brings one of them."""
+    df = line_items(spark, sf_dir) if lines is None else lines
+    if _FROM_PART & set(columns):
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+        df = df.join(part, df.l_partkey == part.p_partkey, "left")
+    if _FROM_ORDERS & set(columns):
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+        df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
+    made = {
+        "Order ID": lambda: F.col("l_orderkey"),
+        "Line Number": lambda: F.col("l_linenumber"),
+        "Order Date": lambda: F.date_format("o_orderdate", SOURCE_DATE_FORMAT),
+        "Ship Date": lambda: F.date_format("l_shipdate", SOURCE_DATE_FORMAT),
+        "Customer ID": lambda: F.col("o_custkey"),
+        "Product ID": lambda: F.when(F.col("p_partkey").isNotNull(),
+                                     product_code("p_type", "p_brand", "l_partkey")),
+        "Quantity": lambda: F.col("l_quantity").cast("bigint"),
+        "Price": lambda: F.col("l_extendedprice"),
+        "Discount": lambda: F.col("l_discount"),
+        "Profit": lambda: line_profit("l_extendedprice", "l_discount"),
+    }
+    return df.select(*[made[c]().alias(c) for c in ORDER_COLUMNS if c in columns])
 
 
 def config():
@@ -191,5 +212,5 @@ class Sources:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(customer_source(spark, sf_dir), product_source(spark, sf_dir),
+    return Sources(customer_source(spark, sf_dir), catalog_source(spark, sf_dir),
                    order_source(spark, sf_dir))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators.enrich import Dimension, enrich
 from tallyspark.plans.registry import QUERIES
 
-IO_QUERIES = {"q_csv_roundtrip", "q_json_roundtrip", "q_overwrite_idempotent", "q_raw_layer"}
+IO_QUERIES = {"q_csv_roundtrip", "q_json_roundtrip", "q_json_array", "q_reconcile", "q_overwrite_idempotent", "q_raw_layer"}
 
 
 @contextlib.contextmanager
@@ -47,15 +47,36 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
         assert unused not in lineitem_schema
 
 
-def test_dedup_reuses_the_order_key_partitioning(spark, sf_dir):
-    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
-                        "spark.sql.adaptive.enabled": "false"}):
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+
+
+def joins_and_exchanges(spark, df) -> tuple[int, int]:
+    plan = plan_of(df)
+    return plan.count("SortMergeJoin"), plan.count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name,most_joins", [
+    ("q_duplicate_summary", 0), ("q_round_money", 0), ("q_parse_date", 1), ("q_profit_by_year", 1),
+    ("q_distinct_domain", 2), ("q_profit_by_year_category", 3), ("q_profit_by_customer", 4),
+])
+def test_only_joins_that_bring_a_column(spark, sf_dir, name, most_joins):
+    with conf(spark, **NO_BROADCAST):
+        joins, _ = joins_and_exchanges(spark, QUERIES[name](spark, sf_dir))
+    assert joins <= most_joins
+
+
+def test_copies_go_before_the_joins(spark, sf_dir):
+    with conf(spark, **NO_BROADCAST):
         plan = plan_of(QUERIES["q_dedup_keep_one"](spark, sf_dir))
-    # the orders join shuffles by order key; the (order_id, line_number)
-    # window is clustered by that and adds no exchange of its own
-    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
-    assert any("l_orderkey" in ln for ln in exchanges)
-    assert not any("line_number" in ln or "l_linenumber" in ln for ln in exchanges)
+    # parents are printed above children: no join below the window, and the
+    # limit of one row per key runs on both sides of its exchange
+    assert "Join" in plan and "Join" not in plan[plan.index("Window [row_number"):]
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_reconcile_plans_enrichment_once(spark, sf_dir):
+    plan = plan_of(QUERIES["q_reconcile"](spark, sf_dir))
+    assert "lineitem" not in plan  # both totals read the stored enriched table
 
 
 def test_reports_aggregate_before_the_shuffle(spark, sf_dir):
@@ -103,9 +124,9 @@ def test_declared_unique_dimensions_let_unused_joins_go(spark, sf_dir):
     def joins(df):
         return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
 
-    assert joins(agg.profit_by_year(enriched)) == 0           # no dimension column used
-    assert joins(agg.profit_by_year_category(enriched)) == 1  # product join stays
-    assert joins(enriched) == 4                               # everything is needed
+    assert joins(agg.profit_by_year(enriched)) == 2           # the source's own; no dimension column used
+    assert joins(agg.profit_by_year_category(enriched)) == 3  # product join stays
+    assert joins(enriched) == 6                               # everything is needed
     expected = QUERIES["q_profit_by_year"](spark, sf_dir)
     assert agg.profit_by_year(enriched).collect() == expected.collect()
 
@@ -113,7 +134,7 @@ def test_declared_unique_dimensions_let_unused_joins_go(spark, sf_dir):
 def test_default_dimensions_keep_exceptall_working(spark, sf_dir):
     from tallyspark.plans.registry import star_enriched
 
-    batch = star_enriched(spark, sf_dir).orders
+    batch = star_enriched(spark, sf_dir)
     keys = batch.select("order_id", "line_number").limit(50)
     semi = batch.join(keys, ["order_id", "line_number"], "left_semi")
     assert semi.exceptAll(semi).isEmpty()
