@@ -258,10 +258,12 @@ def _cleaned(pieces: Column, kind: str, judged: Callable[[Column], Column]) -> C
 def redact(docs: DataFrame, level: float = LEVEL) -> DataFrame:
     """The documents with every secret in the text replaced by its kind in
     brackets, kind by kind; all other columns as they are."""
+    def without(kind: str, pattern: str, group: int, maybe: str, judged) -> Column:
+        text = F.col("text")
+        return _let(_pieces(text, pattern, group, maybe), lambda pieces: F.when(
+            F.size(pieces) > 0, _cleaned(pieces, kind, judged)).otherwise(text))
+
     df = docs
-    for kind, pattern, group, maybe, judged in _kinds(dismissal_cells(docs, level)):
-        pieces = F.col("_pieces")
-        df = (df.withColumn("_pieces", _pieces(F.col("text"), pattern, group, maybe))
-              .withColumn("text", F.when(F.size(pieces) > 0, _cleaned(pieces, kind, judged))
-                          .otherwise(F.col("text"))))
-    return df.select(*docs.columns)
+    for kind in _kinds(dismissal_cells(docs, level)):
+        df = df.withColumn("text", without(*kind))
+    return df

@@ -266,9 +266,13 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                   tree_size: int = TREE_SIZE) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the row with
     the least ``doc_id`` stays (of rows that share it, one; null ids come last)."""
-    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    order = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), "_row")
-    winners = (_grouped(marked, ("doc_id", "_row"), shingle, radius, tree_size)
-               .groupBy("root").agg(F.min(order).alias("w")).select("w.id", F.col("w._row").alias("_row")))
-    return (marked.withColumn("id", order["id"]).join(winners, ["id", "_row"], "left_semi")
-            .dropDuplicates(["id", "_row"]).select(*docs.columns))
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text"))
+    marked = marked.withColumn("mark", F.xxhash64("row")).withColumn(
+        "place", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    winners = (_grouped(marked, ("doc_id", "mark"), shingle, radius, tree_size)
+               .groupBy("root").agg(F.min(F.struct(
+                   F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place"), "mark")).alias("w"))
+               .select("w.place", "w.mark"))
+    return (marked.join(winners, ["place", "mark"], "left_semi").dropDuplicates(["place", "mark"])
+            .select("row.*"))
