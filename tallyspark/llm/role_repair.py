@@ -11,8 +11,8 @@ emitting before merging).
 
 A run of turns is a 4 x 4 matrix of least costs between states, and matrices
 combine by (min, +) products. So a conversation of any length is cut into
-leaves of LEAF turn numbers; leaf matrices are multiplied up a tree of fan-out
-FAN, and the states at the cuts are found on the way down. A task holds one
+leaves of 256 turn numbers; leaf matrices are multiplied up a tree of fan-out
+256, and the states at the cuts are found on the way down. A task holds one
 leaf or one tree node's children, never a conversation. Conversations of one
 leaf, nearly all, skip the tree.
 
@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import map_arrow, stored
 
-LEAF = 256
-FAN = 256
+LEAF_BITS = 8  # a leaf is 2^8 turn numbers, a tree node 2^8 children
+FAN_BITS = 8
 ROLES = ("start", "system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
@@ -180,16 +180,17 @@ _RESULT = pa.schema([
     ("fragment", pa.string())])
 
 
-def _leaves(conversations: DataFrame, leaf: int) -> DataFrame:
+def _leaves(conversations: DataFrame, leaf_bits: int) -> DataFrame:
     four = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                 F.col("role").cast("string"), F.col("text").cast("string"))
     rows = four.groupBy(*four.columns).agg(F.count("*").alias("copies"))
     mark = F.xxhash64("turn", "role", "text")
-    last = (1 << 62) // leaf  # null turns: 4096 leaves after all others
+    last = 1 << (64 - leaf_bits)  # null turns: 4096 leaves after all others
+    unsigned = F.col("turn").bitwiseXOR(F.lit(-(1 << 63)))  # keeps the order, from 0
     return (rows.withColumn("solo", F.when(F.col("conv_id").isNull(), mark).otherwise(F.lit(0)))
             .withColumn("mark", F.when(F.col("turn").isNull(), mark).otherwise(F.lit(0)))
             .withColumn("leaf", F.when(F.col("turn").isNull(), F.lit(last) + F.shiftrightunsigned("mark", 52))
-                        .otherwise(F.floor(F.col("turn") / leaf))))
+                        .otherwise(F.shiftrightunsigned(unsigned, leaf_bits))))
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def _product(automaton: Automaton, flat: list) -> np.ndarray:
     return out
 
 
-def _cuts(rows: DataFrame, automaton: Automaton, fan: int) -> DataFrame:
+def _cuts(rows: DataFrame, automaton: Automaton, fan_bits: int) -> DataFrame:
     """(conv_id, solo, leaf, entry, exit): states at the ends of the leaves of
     conversations that have several; exit is -1 at the end of one."""
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,12 +243,12 @@ def _cuts(rows: DataFrame, automaton: Automaton, fan: int) -> DataFrame:
 
     def parents(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
-        return pd.DataFrame([(pdf.conv_id.iloc[0], 0, pdf.node.iloc[0] // fan,
+        return pd.DataFrame([(pdf.conv_id.iloc[0], 0, pdf.node.iloc[0] >> fan_bits,
                               _product(automaton, pdf.m.tolist()).ravel().tolist())],
                             columns=["conv_id", "solo", "node", "m"])
 
     while levels[-1].groupBy("conv_id").count().where("count > 1").limit(1).count():
-        levels.append(stored(levels[-1].groupBy("conv_id", F.floor(F.col("node") / fan))
+        levels.append(stored(levels[-1].groupBy("conv_id", F.shiftright("node", fan_bits))
                              .applyInPandas(parents, schema), "node-costs"))
 
     cut_schema = "conv_id long, node long, entry int, exit int"
@@ -263,17 +264,19 @@ def _cuts(rows: DataFrame, automaton: Automaton, fan: int) -> DataFrame:
 
     for level in reversed(levels[:-1]):
         above = cuts.withColumnRenamed("node", "parent")
-        cuts = stored(level.withColumn("parent", F.floor(F.col("node") / fan)).join(above, ["conv_id", "parent"])
+        cuts = stored(level.withColumn("parent", F.shiftright("node", fan_bits)).join(above, ["conv_id", "parent"])
                       .groupBy("conv_id", "parent").applyInPandas(split, cut_schema), "cuts")
     return cuts.select("conv_id", F.col("node").alias("leaf"), "entry", "exit")
 
 
-def repair(conversations: DataFrame, costs: Costs | None = None, leaf: int = LEAF, fan: int = FAN) -> DataFrame:
+def repair(conversations: DataFrame, costs: Costs | None = None, leaf_bits: int = LEAF_BITS,
+           fan_bits: int = FAN_BITS) -> DataFrame:
     """One row per distinct turn: its repaired role, what was done, the empty
-    turns around it, the cost, and its fragment of the rendered conversation."""
+    turns around it, the cost, and its fragment of the rendered conversation.
+    ``leaf_bits`` is at least 2, ``fan_bits`` at least 1."""
     automaton = Automaton(costs or Costs())
-    rows = _leaves(conversations, leaf)
-    cut = rows.join(_cuts(rows, automaton, fan), ["conv_id", "leaf"], "left")
+    rows = _leaves(conversations, leaf_bits)
+    cut = rows.join(_cuts(rows, automaton, fan_bits), ["conv_id", "leaf"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []

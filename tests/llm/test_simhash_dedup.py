@@ -1,0 +1,104 @@
+"""SimHash groups against all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from tallyspark.llm import queries
+from tallyspark.llm import simhash_dedup as S
+from tests.llm.helpers import WORD, awkward, documents, no_documents
+
+
+def plain_simhash(text: str) -> int:
+    words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(text)]
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def all_pairs(prints: list[int], radius: int) -> list[int]:
+    """The least index that each fingerprint reaches."""
+    parent = list(range(len(prints)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    values = np.array(prints, np.uint64)
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(values ^ values[i]) <= radius).tolist():
+            a, b = root(i), root(j)
+            parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(prints))]
+
+
+def test_fingerprints_and_groups_of_the_query(spark, sf_dir):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    prints = [plain_simhash(t) for _, t in rows]
+    roots = all_pairs(prints, 2)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in queries.op5_simhash_dedup(spark, sf_dir).collect()}
+    assert got == {rows[k][0]: (f"{prints[k]:016x}", rows[roots[k]][0]) for k in range(len(rows))}
+
+
+@pytest.mark.parametrize("radius,tree_size", [(2, 4096), (2, 5), (3, 7), (0, 50)])
+def test_links_have_the_components_of_all_pairs(spark, radius, tree_size):
+    rng = random.Random(radius * 100 + tree_size)
+    prints = {0, (1 << 64) - 1}
+    for _ in range(12):
+        near = rng.getrandbits(64)
+        for _ in range(25):  # drifting chains, and clusters around one point
+            step = near if rng.random() < 0.7 else next(iter(prints))
+            for _ in range(rng.randint(1, 3)):
+                step ^= 1 << rng.randrange(64)
+            prints.add(step)
+            near = step if rng.random() < 0.5 else near
+    prints = sorted(prints)
+    signed = [x - (1 << 64) if x >> 63 else x for x in prints]
+    points = spark.createDataFrame([(x,) for x in signed], "fingerprint bigint")
+    root = {r["x"]: r["root"] for r in S.components(S.links(points, radius, tree_size)).collect()}
+    mine = [root.get(x, x) for x in signed]
+    want = all_pairs(prints, radius)
+    pairs = {(a, b) for a, b in zip(mine, want, strict=True)}
+    assert len(pairs) == len(set(mine)) == len(set(want))
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(300).selectExpr("id AS x", "id + 1 AS y").union(spark.createDataFrame([(900, 901)], "x bigint, y bigint"))
+    root = {r["x"]: r["root"] for r in S.components(edges).collect()}
+    assert root == {i: 0 for i in range(1, 301)} | {901: 900}
+
+
+def test_bk_tree_follows_only_what_can_be_near():
+    rng = random.Random(4)
+    tree, points = S.BKTree(), [rng.getrandbits(16) for _ in range(500)]
+    for p in dict.fromkeys(points):
+        tree.add(p)
+    for q in points[:60]:
+        near = sorted(tree.points[n] for n in tree.within(q, 3))
+        assert near == sorted(p for p in dict.fromkeys(points) if (p ^ q).bit_count() <= 3)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = S.near_duplicate_groups(docs).collect()
+    assert len(rows) == 10
+    by = {r["doc_id"]: r for r in rows}
+    assert {by[i]["component_id"] for i in (1, 2, 3, 8)} == {1} and by[1]["fingerprint"] == "0" * 16
+    assert by[4]["component_id"] == by[5]["component_id"] == 4 and by[7]["component_id"] == 6
+    assert by[None]["component_id"] is None
+    kept = S.one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 1, 4, 6]
+    assert S.near_duplicate_groups(no_documents(spark)).count() == 0
+    assert S.one_per_group(no_documents(spark)).count() == 0
+
+
+def test_one_large_group_of_copies(spark):
+    docs = documents(spark, ["the same text in every copy of it"] * 400 + [f"text number {i * 31} alone {i}" for i in range(40)])
+    got = {r["doc_id"]: r["component_id"] for r in S.near_duplicate_groups(docs).collect()}
+    assert {got[i] for i in range(400)} == {0}
