@@ -180,10 +180,10 @@ _RESULT = pa.schema([
     ("fragment", pa.string())])
 
 
-def _leaves(conversations: DataFrame, leaf_bits: int) -> DataFrame:
-    four = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
+def _placed(conversations: DataFrame, leaf_bits: int) -> DataFrame:
+    """Every row with the number of its leaf."""
+    rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                 F.col("role").cast("string"), F.col("text").cast("string"))
-    rows = four.groupBy(*four.columns).agg(F.count("*").alias("copies"))
     mark = F.xxhash64("turn", "role", "text")
     last = 1 << (64 - leaf_bits)  # null turns: 4096 leaves after all others
     unsigned = F.col("turn").bitwiseXOR(F.lit(-(1 << 63)))  # keeps the order, from 0
@@ -238,7 +238,9 @@ def _cuts(rows: DataFrame, automaton: Automaton, fan_bits: int) -> DataFrame:
     schema = "conv_id long, solo long, node long, m array<double>"
     long = (rows.where("conv_id IS NOT NULL").groupBy("conv_id")
             .agg(F.min("leaf").alias("a"), F.max("leaf").alias("b")).where("a < b").select("conv_id"))
-    leaves = rows.select("conv_id", "turn", "role", "text", "solo", "mark", "leaf").join(long, "conv_id", "left_semi")
+    # turns of one number and role cost the same in any order, so a hash stands for the text
+    leaves = (rows.select("conv_id", "turn", "role", F.xxhash64("text").alias("text"), "solo", "mark", "leaf")
+              .distinct().join(long, "conv_id", "left_semi"))
     levels = [stored(_sorted(leaves).transform(map_arrow, matrices, schema), "leaf-costs")]
 
     def parents(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -275,8 +277,9 @@ def repair(conversations: DataFrame, costs: Costs | None = None, leaf_bits: int
     turns around it, the cost, and its fragment of the rendered conversation.
     ``leaf_bits`` is at least 2, ``fan_bits`` at least 1."""
     automaton = Automaton(costs or Costs())
-    rows = _leaves(conversations, leaf_bits)
-    cut = rows.join(_cuts(rows, automaton, fan_bits), ["conv_id", "leaf"], "left")
+    placed = _placed(conversations, leaf_bits)
+    rows = placed.groupBy(*placed.columns).agg(F.count("*").alias("copies"))
+    cut = rows.join(_cuts(placed, automaton, fan_bits), ["conv_id", "leaf"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []

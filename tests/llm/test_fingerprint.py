@@ -27,9 +27,8 @@ def test_insertion_and_deletion(spark):
                                  "five six\none two three four\nseven eight nine ten\nfive six")],
                                "a string, b string, ab string")
     fa, fb, fab = (G.fingerprint(F.col(c)) for c in ("a", "b", "ab"))
-    row = df.select(G.as_text(fab).alias("ab"), G.as_text(G.combine(fa, fb)).alias("sum"), G.as_text(fa).alias("a"),
-                    G.as_text(G.without(fab, fb)).alias("difference")).first()
-    assert row["ab"] == row["sum"] and row["a"] == row["difference"]
+    row = df.select(*[G.as_text(f) for f in (fab, G.combine(fa, fb), fa, G.without(fab, fb))]).first()
+    assert row[0] == row[1] and row[2] == row[3]
 
 
 def test_counts_over_many_blocks_are_exact(spark):
