@@ -193,14 +193,25 @@ def _placed(conversations: DataFrame, leaf_bits: int) -> DataFrame:
                         .otherwise(F.shiftrightunsigned(unsigned, leaf_bits))))
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that repeat within a batch as one, with their number: so that a row
+    repeated without end does not arrive at its leaf as often."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        grouped = table.group_by(table.column_names).aggregate([([], "count_all")])
+        yield from grouped.rename_columns([*table.column_names, "copies"]).combine_chunks().to_batches()
+
+
+def _sorted(rows: DataFrame, first: tuple = ()) -> DataFrame:
     return (rows.repartition(*_KEYS)
-            .sortWithinPartitions(*_KEYS, F.col("turn").asc_nulls_last(),
+            .sortWithinPartitions(*_KEYS, *first, F.col("turn").asc_nulls_last(),
                                   F.shiftrightunsigned("mark", 52), "mark", "role", "text"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Consecutive rows of a leaf: (key, rows), across batches."""
+def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, list[list]]]:
+    """Consecutive rows of a leaf: (key, rows), across batches. With ``copies``
+    as the last column, rows that are equal in all others are one."""
+    summed = columns[-1] == "copies"
     key, rows = None, []
     for batch in batches:
         data = batch.to_pydict()
@@ -210,7 +221,10 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tup
                 if rows:
                     yield key, rows
                 key, rows = at, []
-            rows.append(row)
+            if summed and rows and rows[-1][:-1] == list(row[:-1]):
+                rows[-1][-1] += row[-1]
+            else:
+                rows.append(list(row))
     if rows:
         yield key, rows
 
@@ -278,21 +292,29 @@ def repair(conversations: DataFrame, costs: Costs | None = None, leaf_bits: int
     ``leaf_bits`` is at least 2, ``fan_bits`` at least 1."""
     automaton = Automaton(costs or Costs())
     placed = _placed(conversations, leaf_bits)
-    rows = placed.groupBy(*placed.columns).agg(F.count("*").alias("copies"))
-    cut = rows.join(_cuts(placed, automaton, fan_bits), ["conv_id", "leaf"], "left")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
+    rows = placed.transform(map_arrow, _combined, f"{schema}, copies bigint").withColumn("is_turn", F.lit(True))
+    # the states at a leaf's ends travel as a row of it, which sorts first
+    cuts = _cuts(placed, automaton, fan_bits).withColumns({
+        "solo": F.lit(0).cast("long"), "mark": F.lit(0).cast("long"), "copies": F.lit(0).cast("long"),
+        "is_turn": F.lit(False)})
+    cut = rows.unionByName(cuts, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for (conv_id, _, _), turns in _runs(batches, ["turn", "role", "text", "copies", "entry", "exit"]):
-            entry, exit_state = turns[0][4:]
-            repaired = repair_leaf(automaton, [t[1:3] for t in turns], int(entry or START),
-                                   None if exit_state is None or exit_state < 0 else int(exit_state))
+        for (conv_id, _, _), turns in _runs(
+                batches, ["is_turn", "entry", "exit", "turn", "role", "text", "copies"]):
+            entry, exit_state = START, -1
+            if not turns[0][0]:
+                entry, exit_state = turns.pop(0)[1:3]
+            repaired = repair_leaf(automaton, [t[4:6] for t in turns], entry,
+                                   None if exit_state < 0 else exit_state)
             out += [(conv_id, turn, role, *fixed[:5], copies, fixed[5])
-                    for (turn, role, _, copies, _, _), fixed in zip(turns, repaired, strict=True)]
+                    for (*_, turn, role, _, copies), fixed in zip(turns, repaired, strict=True)]
             if len(out) >= 10_000:
                 yield _batch(out, _RESULT)
                 out = []
         yield _batch(out, _RESULT)
 
-    return _sorted(cut).transform(map_arrow, run, RESULT_SCHEMA)
+    return _sorted(cut, ("is_turn",)).transform(map_arrow, run, RESULT_SCHEMA)
 
