@@ -37,12 +37,12 @@ def main() -> None:
         return ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA,
                                  max_files_per_trigger=1)
 
-    landing = ingest.raw_order_stream(stream())
+    reading = ingest.raw_order_stream(stream())
     by_order_date = (trim_string_columns(standardize_column_names(stream()))
                      .withColumn("_t", F.try_to_date("order_date", "d/M/yyyy").cast("timestamp"))
                      .withWatermark("_t", "30 days")
                      .dropDuplicatesWithinWatermark(["order_id", "line_number"]).drop("_t"))
-    for label, df in (("landing time", landing), ("order date", by_order_date)):
+    for label, df in (("reading time", reading), ("order date", by_order_date)):
         out = f"{base}/{label.replace(' ', '_')}"
         ingest.run_available(df, out, f"{out}_checkpoint")
         kept = spark.read.parquet(out).count()
