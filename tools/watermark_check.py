@@ -1,8 +1,8 @@
-"""Streaming dedup: landing-time vs order-date event time, side by side.
+"""Streaming dedup: reading-time vs order-date event time, side by side.
 
 Lands the order-line source as files, streams them one file per micro-batch
 through watermark de-duplication, and counts what survives. The batch layer
-keeps one row per (order_id, line_number); the landing-time watermark keeps
+keeps one row per (order_id, line_number); the reading-time watermark keeps
 them all, while the order-date one drops lines whose order date is behind
 the watermark as "late".
 
