@@ -34,9 +34,9 @@ class Trie:
 
 
 @lru_cache(maxsize=2)
-def load_trie(ranks: str, max_piece: int = 64) -> Trie:
-    """The trie of a rank file (a base64 piece and its number per line), of
-    pieces of at most ``max_piece`` bytes; one per Python worker."""
+def load_trie(ranks: str, max_piece: int | None = None) -> Trie:
+    """The trie of a rank file (a base64 piece and its number per line), of all
+    pieces or those of at most ``max_piece`` bytes; one per Python worker."""
     with open(ranks, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    return Trie([p for p in pieces if len(p) <= max_piece])
+    return Trie([p for p in pieces if max_piece is None or len(p) <= max_piece])

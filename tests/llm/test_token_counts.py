@@ -52,3 +52,14 @@ def test_awkward_rows(spark):
     assert by[4] == by[5] == (4, 4) and by[6] == by[7] and by[6][0] == 60_000
     assert T.count_tokens(no_documents(spark), RANKS).count() == 0
     assert T.automaton(RANKS).word(b"z" * 200_000) > 1000
+
+
+def test_separator_lines_take_the_longest_pieces():
+    with open(RANKS, "rb") as file:
+        pieces = {base64.b64decode(line.split()[0]) for line in file}
+    longest = max(map(len, pieces))
+    automaton = T.automaton(RANKS)
+    words = [c * n for c in (b"-", b"=") for n in range(64, 201)]
+    words += [p.strip() for p in pieces if len(p) > 64]
+    assert [automaton.word(w) for w in words] == [greedy(pieces, longest, b" " + w) for w in words]
+    assert [automaton.word(w) for w in (b"-" * 64, b"=" * 65, b"=" * 80)] == [1, 1, 3]
