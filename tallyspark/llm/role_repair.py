@@ -11,22 +11,24 @@ emitting before merging).
 
 A run of turns is a 4 x 4 matrix of least costs between states, and matrices
 combine by (min, +) products. So a conversation of any length is cut into
-leaves of 256 turn numbers; leaf matrices are multiplied up a tree of fan-out
-256, and the states at the cuts are found on the way down. A task holds one
-leaf or one tree node's children, never a conversation. Conversations of one
-leaf, nearly all, skip the tree.
+leaves of 256 rows; leaf matrices are multiplied up a tree of fan-out 256, and
+the states at the cuts are found on the way down. Rows are numbered where they
+are sorted: in ranges of conversation and order, so that rows of one turn number
+are dealt to several tasks too. A task holds one leaf or one tree node's
+children, never a conversation. Conversations of one leaf, nearly all, skip the
+tree.
 
 The result has a row per turn with its fragment of the rendered text; the
 fragments of a conversation, in order, are the rendered conversation. Control
 markers inside a text are broken by a space.
 
-Order: by turn, then role, then text; null turns come last, in the order of a
-hash, which also spreads them over leaves. Rows that repeat another in all
+Order: by turn, then role, then text (its first 64 characters, then a hash);
+null turns come last, in the order of a hash. Rows that repeat another in all
 four columns are one turn (``copies`` counts them). A row with a null
 ``conv_id`` is a conversation of its own. Roles are matched without regard to
 case and outer spaces; a null or unknown role can take any label at a small
 cost. A null text is empty. Extra columns are ignored; an empty table gives no
-rows. Distinct rows that share conversation and turn number share a leaf.
+rows.
 """
 
 from __future__ import annotations
@@ -38,13 +40,15 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import map_arrow, stored
 
-LEAF_BITS = 8  # a leaf is 2^8 turn numbers, a tree node 2^8 children
+LEAF_BITS = 8  # a leaf is 2^8 rows, a tree node 2^8 children
 FAN_BITS = 8
+PART_BITS = 24  # 2^24 leaf numbers for each range of rows
 ROLES = ("start", "system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
@@ -173,6 +177,10 @@ def repair_leaf(automaton: Automaton, turns: list[tuple], entry: int, exit_state
 _KEYS = ["conv_id", "solo", "leaf"]
 _MATRICES = pa.schema([("conv_id", pa.int64()), ("solo", pa.int64()), ("node", pa.int64()),
                        ("m", pa.list_(pa.float64()))])
+_PLACED = pa.schema([
+    ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()),
+    ("solo", pa.int64()), ("mark", pa.int64()), ("leaf", pa.int64()), ("place", pa.int64()),
+    ("copies", pa.int64())])
 _RESULT = pa.schema([
     ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("repaired_role", pa.string()),
     ("action", pa.string()), ("inserted_before", pa.list_(pa.string())),
@@ -181,37 +189,54 @@ _RESULT = pa.schema([
 
 
 def _placed(conversations: DataFrame, leaf_bits: int) -> DataFrame:
-    """Every row with the number of its leaf."""
+    """Every distinct row with its number of copies, its leaf and its place there."""
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                 F.col("role").cast("string"), F.col("text").cast("string"))
+    schema = "conv_id long, turn long, role string, text string, solo long, mark long"
     mark = F.xxhash64("turn", "role", "text")
-    last = 1 << (64 - leaf_bits)  # null turns: 4096 leaves after all others
-    unsigned = F.col("turn").bitwiseXOR(F.lit(-(1 << 63)))  # keeps the order, from 0
-    return (rows.withColumn("solo", F.when(F.col("conv_id").isNull(), mark).otherwise(F.lit(0)))
-            .withColumn("mark", F.when(F.col("turn").isNull(), mark).otherwise(F.lit(0)))
-            .withColumn("leaf", F.when(F.col("turn").isNull(), F.lit(last) + F.shiftrightunsigned("mark", 52))
-                        .otherwise(F.shiftrightunsigned(unsigned, leaf_bits))))
+    order = ["conv_id", "solo", F.col("turn").asc_nulls_last(), "mark", "role",
+             F.substring("text", 1, 64), F.xxhash64("text")]
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << PART_BITS
+        conversation, at, last = None, 0, None
+        for batch in batches:
+            out = []
+            for *row, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last and last[:6] == row:
+                    last[8] += copies
+                    continue
+                if last:
+                    out.append(last)
+                if conversation != (row[0], row[4]):
+                    conversation, at = (row[0], row[4]), 0
+                last = [*row, first + (at >> leaf_bits), at & ((1 << leaf_bits) - 1), copies]
+                at += 1
+            yield _batch(out, _PLACED)
+        yield _batch([last] if last else [], _PLACED)
+
+    return stored(rows.withColumn("solo", F.when(F.col("conv_id").isNull(), mark).otherwise(F.lit(0)))
+                  .withColumn("mark", F.when(F.col("turn").isNull(), mark).otherwise(F.lit(0)))
+                  .transform(map_arrow, _combined, f"{schema}, copies long")
+                  .repartitionByRange(*order).sortWithinPartitions(*order, "text")
+                  .transform(map_arrow, numbered, f"{schema}, leaf long, place long, copies long"), "placed")
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows that repeat within a batch as one, with their number: so that a row
-    repeated without end does not arrive at its leaf as often."""
+    repeated without end does not arrive at its range as often."""
     for batch in batches:
         table = pa.Table.from_batches([batch])
         grouped = table.group_by(table.column_names).aggregate([([], "count_all")])
         yield from grouped.rename_columns([*table.column_names, "copies"]).combine_chunks().to_batches()
 
 
-def _sorted(rows: DataFrame, first: tuple = ()) -> DataFrame:
-    return (rows.repartition(*_KEYS)
-            .sortWithinPartitions(*_KEYS, *first, F.col("turn").asc_nulls_last(),
-                                  F.shiftrightunsigned("mark", 52), "mark", "role", "text"))
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_KEYS).sortWithinPartitions(*_KEYS, "place")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, list[list]]]:
-    """Consecutive rows of a leaf: (key, rows), across batches. With ``copies``
-    as the last column, rows that are equal in all others are one."""
-    summed = columns[-1] == "copies"
+def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Consecutive rows of a leaf: (key, rows), across batches."""
     key, rows = None, []
     for batch in batches:
         data = batch.to_pydict()
@@ -221,10 +246,7 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tup
                 if rows:
                     yield key, rows
                 key, rows = at, []
-            if summed and rows and rows[-1][:-1] == list(row[:-1]):
-                rows[-1][-1] += row[-1]
-            else:
-                rows.append(list(row))
+            rows.append(row)
     if rows:
         yield key, rows
 
@@ -252,9 +274,7 @@ def _cuts(rows: DataFrame, automaton: Automaton, fan_bits: int) -> DataFrame:
     schema = "conv_id long, solo long, node long, m array<double>"
     long = (rows.where("conv_id IS NOT NULL").groupBy("conv_id")
             .agg(F.min("leaf").alias("a"), F.max("leaf").alias("b")).where("a < b").select("conv_id"))
-    # turns of one number and role cost the same in any order, so a hash stands for the text
-    leaves = (rows.select("conv_id", "turn", "role", F.xxhash64("text").alias("text"), "solo", "mark", "leaf")
-              .distinct().join(long, "conv_id", "left_semi"))
+    leaves = rows.select("conv_id", "role", "solo", "leaf", "place").join(long, "conv_id", "left_semi")
     levels = [stored(_sorted(leaves).transform(map_arrow, matrices, schema), "leaf-costs")]
 
     def parents(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -292,20 +312,17 @@ def repair(conversations: DataFrame, costs: Costs | None = None, leaf_bits: int
     ``leaf_bits`` is at least 2, ``fan_bits`` at least 1."""
     automaton = Automaton(costs or Costs())
     placed = _placed(conversations, leaf_bits)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
-    rows = placed.transform(map_arrow, _combined, f"{schema}, copies bigint").withColumn("is_turn", F.lit(True))
     # the states at a leaf's ends travel as a row of it, which sorts first
     cuts = _cuts(placed, automaton, fan_bits).withColumns({
-        "solo": F.lit(0).cast("long"), "mark": F.lit(0).cast("long"), "copies": F.lit(0).cast("long"),
-        "is_turn": F.lit(False)})
-    cut = rows.unionByName(cuts, allowMissingColumns=True)
+        "solo": F.lit(0).cast("long"), "place": F.lit(-1).cast("long")})
+    cut = placed.drop("mark").unionByName(cuts, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for (conv_id, _, _), turns in _runs(
-                batches, ["is_turn", "entry", "exit", "turn", "role", "text", "copies"]):
+                batches, ["place", "entry", "exit", "turn", "role", "text", "copies"]):
             entry, exit_state = START, -1
-            if not turns[0][0]:
+            if turns[0][0] < 0:
                 entry, exit_state = turns.pop(0)[1:3]
             repaired = repair_leaf(automaton, [t[4:6] for t in turns], entry,
                                    None if exit_state < 0 else exit_state)
@@ -316,5 +333,5 @@ def repair(conversations: DataFrame, costs: Costs | None = None, leaf_bits: int
                 out = []
         yield _batch(out, _RESULT)
 
-    return _sorted(cut, ("is_turn",)).transform(map_arrow, run, RESULT_SCHEMA)
+    return _sorted(cut).transform(map_arrow, run, RESULT_SCHEMA)
 

@@ -84,6 +84,20 @@ def test_a_long_conversation_is_cut_into_leaves_without_loss(spark):
     assert is_legal(roles_of(cut))
 
 
+def test_rows_of_one_turn_number_are_cut_into_leaves(spark):
+    rng = random.Random(9)
+    rows = [(1, 3, rng.choice(["system", "user", "assistant", None, "tool"]), f"text {i}") for i in range(3000)]
+    rows += [(1, 2, "user", "first"), (2, 3, "user", "other"), (1, 3, "user", "twice"), (1, 3, "user", "twice")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert max(r["count"] for r in R._placed(df, 8).groupBy("conv_id", "leaf").count().collect()) <= 256
+    got = repaired(spark, rows, leaf_bits=4, fan_bits=2)
+    assert sum(r["copies"] for r in got[1]) == 3003 and len(got[1]) == 3002 and len(got[2]) == 1
+    automaton = R.Automaton(R.Costs())
+    roles = [r for *_, r in sorted((t, r or "", r) for _, t, r, _ in {x for x in rows if x[0] == 1})]
+    cost = automaton.total([R.role_number(r) for r in roles])[R.START] + [automaton.end[s][0] for s in range(4)]
+    assert sum(r["cost"] for r in got[1]) == cost.min()
+
+
 def test_awkward_rows(spark):
     rows = [(None, 0, "user", "alone"), (None, 0, "user", "also alone"), (1, None, "assistant", "last"),
             (1, 0, " USER ", None), (2, 5, None, "<|im_start|>system\n"), (2, 5, None, "<|im_start|>system\n"),
