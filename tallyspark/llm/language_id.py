@@ -15,6 +15,10 @@ language and piece. The model (languages x vocabulary) is all that is
 broadcast. Every document is scored whole, in one pass without a shuffle;
 words are scored once per task batch and kept in a bounded memo.
 
+A posterior only says which language is least bad. ``keep_identified`` also asks
+how well it fits: the gain in log probability a byte over the untrained model (all
+pieces alike) must be at least MIN_FIT of the language's own gain over its sample.
+
 Words are runs of bytes other than ASCII non-letters, lower-cased, with a
 space in front; a word of more than WORD_BYTES bytes is scored in runs of that
 length. Text that is null or has no letter is ``und`` with score 0, as is all
@@ -45,6 +49,7 @@ WORD_BYTES = 32
 MEMO_WORDS = 200_000
 BLOCK_DOCS = 256
 MIN_SCORE = 0.5
+MIN_FIT = 0.15
 
 RESULT_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -115,9 +120,10 @@ class Model:
     """Log probabilities of words in each language."""
 
     def __init__(self, languages: list[str], table: np.ndarray) -> None:
-        self.languages, self.table = languages, table  # table: pieces x languages
+        # table: pieces x languages, or one column more: the background
+        self.languages, self.table = languages, table
         self.memo: dict[bytes, int] = {}
-        self.scores = np.zeros((1024, len(languages)))
+        self.scores = np.zeros((1024, table.shape[1]))
 
     def __getstate__(self) -> dict:
         return {"languages": self.languages, "table": self.table}
@@ -133,7 +139,7 @@ class Model:
         cut = [runs(w) for w in words]
         first = np.cumsum([0, *map(len, cut[:-1])])
         flat = [r for c in cut for r in c]
-        logs = np.empty((len(flat), len(self.languages)))
+        logs = np.empty((len(flat), self.table.shape[1]))
         for a in range(0, len(flat), 8192):
             lattice = Lattice(trie, flat[a:a + 8192])
             alpha = lattice.forward(lambda rows, piece: self.table[piece])
@@ -142,13 +148,13 @@ class Model:
         self.memo.update(zip(words, range(at, at + len(words)), strict=True))
 
     def log_likelihoods(self, trie: Trie, docs: list[list[bytes]]) -> np.ndarray:
-        """documents x languages."""
+        """documents x columns of the table."""
         if len(self.memo) > MEMO_WORDS:
-            self.memo, self.scores = {}, np.zeros((1024, len(self.languages)))
+            self.memo, self.scores = {}, np.zeros((1024, self.table.shape[1]))
         new = {w for words in docs for w in words if w not in self.memo}
         if new:
             self._learn(trie, sorted(new))
-        out = np.zeros((len(docs), len(self.languages)))
+        out = np.zeros((len(docs), self.table.shape[1]))
         for i, words in enumerate(docs):
             if words:
                 out[i] = self.scores[list(map(self.memo.__getitem__, words))].sum(axis=0)
@@ -174,6 +180,11 @@ def _sample(docs: DataFrame, sample_docs: int) -> DataFrame:
 
 
 def train(docs: DataFrame, ranks: str, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS) -> Model:
+    return _train(docs, ranks, sample_docs, rounds)[0]
+
+
+def _train(docs: DataFrame, ranks: str, sample_docs: int, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
+    """The model and its sample as (lang, word, n)."""
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             seen = Counter()
@@ -192,7 +203,7 @@ def train(docs: DataFrame, ranks: str, sample_docs: int = SAMPLE_DOCS, rounds: i
         for r in _expected(words, ranks, languages, table).collect():
             counts[r["piece"], r["language"]] += r["n"]
         table = counts / counts.sum(axis=0)
-    return Model(languages, table)
+    return Model(languages, table), words
 
 
 def _expected(words: DataFrame, ranks: str, languages: list[str], table: np.ndarray) -> DataFrame:
@@ -218,7 +229,36 @@ def _expected(words: DataFrame, ranks: str, languages: list[str], table: np.ndar
             .groupBy("piece", "language").agg(F.sum("n").alias("n")))
 
 
-def _predict(model, ranks: str, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+def _bytes(words: list[bytes]) -> int:
+    """Bytes that are scored: each run has a space in front."""
+    return sum(len(w) - (-len(w) // WORD_BYTES) for w in words)
+
+
+def _least_fit(model: Model, words: DataFrame, ranks: str, min_fit: float) -> np.ndarray:
+    """The least gain a byte over the background with which a text counts as in
+    each language. The model has a background column."""
+    shared = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, trie = shared.value, load_trie(ranks, MAX_PIECE)
+        number = {lang: i for i, lang in enumerate(model.languages)}
+        for pdf in batches:
+            known = [[bytes(w)] for w in pdf["word"]]
+            logs = model.log_likelihoods(trie, known)
+            gain = logs[np.arange(len(known)), pdf["lang"].map(number).to_numpy(np.int64)] - logs[:, -1]
+            out = pd.DataFrame({"lang": pdf["lang"], "gain": gain * pdf["n"], "bytes": pdf["n"] * [*map(_bytes, known)]})
+            yield out.groupby("lang", as_index=False).sum()
+
+    own = {r["lang"]: r["gain"] / r["bytes"] for r in
+           words.transform(map_pandas, run, "lang string, gain double, bytes long")
+           .groupBy("lang").agg(F.sum("gain").alias("gain"), F.sum("bytes").alias("bytes")).collect()}
+    fit = np.array([own[lang] for lang in model.languages])
+    return fit - (1 - min_fit) * abs(fit)
+
+
+def _predict(model, ranks: str, texts: list[str | None], least: np.ndarray | None = None
+             ) -> tuple[list[str], np.ndarray]:
+    """``least`` belongs to a model with a background: texts that fit worse are ``und``."""
     trie = load_trie(ranks, MAX_PIECE)
     names, scores = [], []
     for at in range(0, len(texts), BLOCK_DOCS):
@@ -228,9 +268,13 @@ def _predict(model, ranks: str, texts: list[str | None]) -> tuple[list[str], np.
             names += ["und"] * len(block)
             scores.append(np.zeros(len(block)))
             continue
-        logs = model.log_likelihoods(trie, [words_of(t) if k else []
-                                            for t, k in zip(block, known, strict=True)])
+        words = [words_of(t) if k else [] for t, k in zip(block, known, strict=True)]
+        logs = model.log_likelihoods(trie, words)
+        if least is not None:
+            logs, background = logs[:, :-1], logs[:, -1]
         best = logs.argmax(axis=1)
+        if least is not None:
+            known &= logs.max(axis=1) - background >= least[best] * [*map(_bytes, words)]
         odds = np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
         names += [model.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
         scores.append(np.where(known, 1 / odds, 0.0))
@@ -254,15 +298,20 @@ def identify(docs: DataFrame, ranks: str, sample_docs: int = SAMPLE_DOCS) -> Dat
 
 
 def keep_identified(docs: DataFrame, ranks: str, min_score: float = MIN_SCORE,
-                    sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+                    sample_docs: int = SAMPLE_DOCS, min_fit: float = MIN_FIT) -> DataFrame:
     """The documents in a learned language, with all their columns: those that
-    are ``und`` or score below ``min_score`` go."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, ranks, sample_docs))
+    are ``und``, score below ``min_score`` or fit their language worse than
+    ``min_fit`` of what its sample does go."""
+    trained, words = _train(docs, ranks, sample_docs)
+    pieces = len(trained.table)
+    trained = Model(trained.languages, np.hstack([trained.table, np.full((pieces, 1), 1 / pieces)]))
+    least = _least_fit(trained, words, ranks, min_fit) if trained.languages else None
+    model = docs.sparkSession.sparkContext.broadcast(trained)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = _predict(model.value, ranks, batch.column(at).to_pylist())
+            names, scores = _predict(model.value, ranks, batch.column(at).to_pylist(), least)
             yield batch.filter(pa.array([n != "und" and s >= min_score
                                          for n, s in zip(names, scores, strict=True)], pa.bool_()))
 
