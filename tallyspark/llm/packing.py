@@ -4,8 +4,9 @@ Each document becomes its token ids and an end id. Whole windows of a long
 document are sequences of their own; what remains of it (less than one window)
 is packed with its lexical neighbours. Remainders are taken in shards of at
 most ``shard_docs`` consecutive documents of a task. A shard is indexed by
-term (token id): an inverted index with BM25 weights. The first unused
-remainder is the seed of a window; its heaviest terms query the index, and the
+term (token id): an inverted index with BM25 weights, whose document
+frequencies and mean length are those of all remainders of the table. The first
+unused remainder is the seed of a window; all its terms query the index, and the
 unused neighbours fill the window greedily, best first (shard order breaks
 ties and follows when neighbours run out). The piece that reaches the end of a
 window is cut there; its rest is the seed of the next one, which the last
@@ -13,8 +14,12 @@ shard of a task passes on to the following. So every sequence is exactly full,
 but for the last tokens of a task, which are cut into sequences of falling
 powers of two: nothing is padded.
 
-A task holds one shard and one Arrow batch; documents never leave their
-partition, so hot sources or copies cost nothing extra and no shuffle runs.
+Retrieval is cut: a seed sees the neighbours of its own shard only, and shards
+follow the layout of the files. README lists this as open.
+
+A task holds one shard and one Arrow batch; token ids are stored once, documents
+never leave their partition, so hot sources or copies cost nothing extra. Only
+counts per term are shuffled.
 ``sequence_id`` is the partition's number and a counter; a retried task gives
 the same rows.
 
@@ -28,6 +33,7 @@ import base64
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -36,11 +42,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_arrow
+from tallyspark.llm.common import map_arrow, stored
 
 WINDOW = 1024
 SHARD_DOCS = 1024
-QUERY_TERMS = 12
+QUERY_TERMS = None  # all
 K1, B = 1.2, 0.75
 END_ID = 0
 MEMO_ENTRIES = 500_000
@@ -115,10 +121,20 @@ def token_ids(tokenizer_json: str, ranks: str) -> TokenIds:
     return TokenIds(tokenizer_json, ranks)
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Number of sequences, their mean length and the document frequency of each term."""
+    n: int
+    mean: float
+    df: np.ndarray
+
+
 class LexicalIndex:
-    """An inverted index of one shard of token sequences with BM25 weights."""
+    """An inverted index of one shard of token sequences with BM25 weights, by
+    the figures of a corpus or else of the shard."""
 
-    def __init__(self, shard: list[np.ndarray], query_terms: int) -> None:
+    def __init__(self, shard: list[np.ndarray], query_terms: int | None,
+                 corpus: Corpus | None = None) -> None:
         self.n, self.query_terms = len(shard), query_terms
         lengths = np.array([len(x) for x in shard], np.float64)
         doc = np.repeat(np.arange(self.n), lengths.astype(np.int64))
@@ -127,12 +143,14 @@ class LexicalIndex:
         self.doc = keys % self.n
         self.terms, self.first, df = np.unique(keys // self.n, return_index=True, return_counts=True)
         self.last = self.first + df
-        self.idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / lengths.mean())
+        n, mean, df_all = (corpus.n, corpus.mean, corpus.df[self.terms]) if corpus else (
+            self.n, lengths.mean(), df)
+        self.idf = np.log(1 + (n - df_all + 0.5) / (df_all + 0.5))
+        norm = K1 * (1 - B + B * lengths / mean)
         self.weight = np.repeat(self.idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])
 
     def neighbours(self, seed: np.ndarray) -> list[int]:
-        """Members that share the seed's heaviest terms, best first."""
+        """Members that share the seed's (heaviest) terms, best first."""
         terms, tf = np.unique(seed, return_counts=True)
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         known = self.terms[at] == terms
@@ -150,8 +168,8 @@ class LexicalIndex:
 class Packer:
     """Windows of one task. A part is (doc_id, start, ids, doc_tokens)."""
 
-    def __init__(self, task: int, window: int, query_terms: int) -> None:
-        self.window, self.query_terms = window, query_terms
+    def __init__(self, task: int, window: int, query_terms: int | None, corpus: Corpus) -> None:
+        self.window, self.query_terms, self.corpus = window, query_terms, corpus
         self.next_id = task << 40
         self.open: list[tuple] = []
         self.filled = 0
@@ -185,7 +203,7 @@ class Packer:
 
     def shard(self, parts: list[tuple]) -> None:
         """Packs a shard of remainders; a window may stay open for the next."""
-        index = LexicalIndex([p[2] for p in parts], self.query_terms)
+        index = LexicalIndex([p[2] for p in parts], self.query_terms, self.corpus)
         unused = [True] * len(parts)
         at = 0
         while at < len(parts):
@@ -232,18 +250,53 @@ class Packer:
             ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
 
+def corpus_of(encoded: DataFrame, window: int) -> Corpus:
+    """Counts over the remainders of all documents; one row per term is collected."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, length = np.zeros(1, np.int64), 0, 0
+        for batch in batches:
+            for ids in batch.column(0).to_pylist():
+                ids = np.frombuffer(ids, "<u4")
+                rest = ids[len(ids) // window * window:]
+                if len(rest):
+                    terms = np.unique(rest)
+                    if terms[-1] >= len(df):
+                        df = np.pad(df, (0, int(terms[-1]) + 1 - len(df)))
+                    df[terms] += 1
+                    n, length = n + 1, length + len(rest)
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-2, -1, *terms.tolist()], pa.int64()),
+             pa.array([n, length, *df[terms].tolist()], pa.int64())], ["term", "n"])
+
+    found = {r["term"]: r["n"] for r in encoded.select("ids").transform(map_arrow, count, "term long, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    n, length = found.pop(-2, 0), found.pop(-1, 0)
+    df = np.zeros(max(found, default=0) + 1, np.int64)
+    df[list(found)] = list(found.values())
+    return Corpus(n, length / max(n, 1), df)
+
+
 def pack(docs: DataFrame, tokenizer_json: str, ranks: str, window: int = WINDOW,
-         shard_docs: int = SHARD_DOCS, query_terms: int = QUERY_TERMS) -> DataFrame:
+         shard_docs: int = SHARD_DOCS, query_terms: int | None = QUERY_TERMS) -> DataFrame:
     """One row per piece of a document in a sequence. ``tokenizer_json`` and
     ``ranks`` are two files of one vocabulary, readable on every executor."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = token_ids(tokenizer_json, ranks)
         end = np.array([END_ID], "<u4").tobytes()
-        packer, waiting = Packer(TaskContext.get().partitionId(), window, query_terms), []
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rest = packer.whole_windows(
-                    doc_id, np.frombuffer((encode(text) if text else b"") + end, "<u4"))
+            ids = [(encode(t) if t else b"") + end for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    encoded = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+                     .transform(map_arrow, tokens, "doc_id long, ids binary"), "token-ids")
+    corpus = docs.sparkSession.sparkContext.broadcast(corpus_of(encoded, window))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, waiting = Packer(TaskContext.get().partitionId(), window, query_terms, corpus.value), []
+        for batch in batches:
+            for doc_id, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rest = packer.whole_windows(doc_id, np.frombuffer(ids, "<u4"))
                 if rest:
                     waiting.append(rest)
                 if len(waiting) == shard_docs:
@@ -256,5 +309,4 @@ def pack(docs: DataFrame, tokenizer_json: str, ranks: str, window: int = WINDOW,
         packer.close()
         yield packer.batch()
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-            .transform(map_arrow, run, RESULT_SCHEMA))
+    return encoded.transform(map_arrow, run, RESULT_SCHEMA)

@@ -90,6 +90,23 @@ def test_index_ranks_by_bm25():
     assert all(a >= b - 1e-9 for a, b in zip(scores, scores[1:], strict=False))
 
 
+def test_statistics_cover_the_corpus_and_every_seed_term_queries(spark):
+    rng = random.Random(4)
+    texts = [[rng.randint(1, 60) for _ in range(rng.randint(1, 40))] for _ in range(90)]
+    encoded = spark.createDataFrame([(i, bytearray(np.array(t, "<u4").tobytes())) for i, t in enumerate(texts)],
+                                    "doc_id long, ids binary").repartition(5)
+    rests = [t[len(t) // 16 * 16:] for t in texts]
+    rests = [t for t in rests if t]
+    corpus = P.corpus_of(encoded, 16)
+    df = Counter(t for x in rests for t in set(x))
+    assert corpus.n == len(rests) and corpus.mean == sum(map(len, rests)) / len(rests)
+    assert {t: int(corpus.df[t]) for t in df} == df
+    shard = [np.arange(1, 41, dtype="<u4"), *[np.array([t], "<u4") for t in range(1, 41)]]
+    index = P.LexicalIndex(shard, P.QUERY_TERMS, corpus)
+    assert sorted(index.neighbours(shard[0])) == list(range(41))
+    assert np.allclose(index.idf, [math.log(1 + (corpus.n - df[t] + 0.5) / (df[t] + 0.5)) for t in range(1, 41)])
+
+
 def test_neighbours_fill_a_window_first(spark):
     topics = ["apple pear plum quince " * 2, "bolt nut screw washer " * 2, "cello viola oboe flute " * 2]
     docs = documents(spark, [topics[i % 3] for i in range(30)]).coalesce(1)
