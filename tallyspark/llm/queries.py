@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    decontaminate, fingerprint, language_id, packing, quality, role_repair, secret_scan,
+    decontaminate, filter_audit, fingerprint, language_id, packing, quality, role_repair, secret_scan,
     simhash_dedup, substring_dedup, token_counts,
 )
 from tallyspark.llm.common import read_table
@@ -72,7 +72,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  read_table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                               filter_audit.text_filters(), copies="E")
+    return found.drop("orders_reaching", "orders_leaving")
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("op")}
 
-#: None of these has a SQL form that is usable on whole tables.
-ORACLE: dict[str, str] = {}
+#: The others have no SQL form that is usable on whole tables.
+ORACLE: dict[str, str] = {"op11_filter_audit": filter_audit.AUDIT_SQL}
