@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import (
-    decontaminate, filter_audit, fingerprint, language_id, packing, quality, role_repair, secret_scan,
-    simhash_dedup, substring_dedup, token_counts,
+    decontaminate, filter_audit, fingerprint, language_id, license_scan, packing, quality, role_repair,
+    secret_scan, simhash_dedup, substring_dedup, token_counts,
 )
 from tallyspark.llm.common import read_table
 
@@ -78,6 +78,21 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("orders_reaching", "orders_leaving")
 
 
+def _license_digest(docs: DataFrame) -> DataFrame:
+    base = F.filter("notices", lambda x: x["base"])
+    return license_scan.scan(docs).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(base["word"]).alias("first_word"), F.array_max(base["word"]).alias("last_word"),
+        license_scan.joined(base["label"]).alias("base_labels"),
+        license_scan.joined(F.concat(F.col("notices.label"), F.flatten("expressions.labels"))).alias("labels"),
+        "score",
+        license_scan.joined(F.concat(F.col("notices.label"), F.flatten("expressions.chosen"))).alias("chosen"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _license_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 #: The others have no SQL form that is usable on whole tables.

@@ -1,0 +1,193 @@
+"""Licence scan against plain searches; expressions against a recursive parser."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from tallyspark.llm import license_scan as L
+from tallyspark.llm import queries
+from tests.llm.helpers import awkward, documents, no_documents
+
+WORDS = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words_of(text):
+    return WORDS.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def places(words, phrase):
+    phrase = phrase.split()
+    return [i for i in range(len(words)) if words[i:i + len(phrase)] == phrase]
+
+
+def plain(text):
+    words = words_of(text)
+    base = [(i, label) for phrase, label in L.BASE.items() for i in places(words, phrase)]
+    rest = [(i, label) for phrase, label in L.NOTICES.items() for i in places(words, phrase)]
+    return words, base, rest
+
+
+def digest(row):
+    return (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels)
+
+
+def want(text):
+    words, base, _ = plain(text)
+    at = [i for i, _ in base]
+    return (len(words), len(base), min(at, default=None), max(at, default=None),
+            ",".join(sorted({label for _, label in base})))
+
+
+def test_query_against_plain_search(spark, sf_dir):
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    rows = queries.op12_license_scan(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    assert sum(r.n_base for r in rows) > 0
+    for row in rows:
+        assert digest(row) == want(texts[row.doc_id])
+        assert set(row.base_labels.split(",")) <= set(row.labels.split(","))
+        assert 0 <= row.score <= 1
+
+
+def test_overlapping_and_broken_phrases(spark):
+    texts = ["CC BY NC CC-by-nc cc/by/nc", "cc by\n\tnc", "ccby nc", "xcc by nc", "cc by ncé", "é cc by nc",
+             "Apache License, Version 2.0", "apache license version 20", "under the MIT license. Under the mit LICENSE",
+             "under the mit licenses", "cc by cc by nc by nc", "", None, "\x00cc\x7fby\x7bnc\x7d", "CC BY NC",
+             "İ cc by nc K"]
+    rows = {r.doc_id: r for r in queries._license_digest(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert digest(rows[i]) == want(text), text
+
+
+def test_random_words_against_plain_search():
+    rng = random.Random(5)
+    vocabulary = sorted({w for p in [*L.BASE, *L.NOTICES] for w in p.split()}) + ["x", "é"]
+    for _ in range(300):
+        text = "".join(rng.choice(vocabulary) + rng.choice(" ,.\n-") for _ in range(rng.randint(0, 80)))
+        for phrase in rng.sample([*L.BASE, *L.NOTICES], 2):
+            text += phrase.replace(" ", rng.choice([" ", "\n", ", "])) + rng.choice([" ", "x", "; "])
+        words, base, rest = plain(text)
+        n, notices, _, _ = L.scan_text(text.encode())
+        assert n == len(words)
+        assert sorted(notices) == sorted([(i, x, True) for i, x in base] + [(i, x, False) for i, x in rest])
+
+
+class Recursive:
+    """Grammar by recursive descent: or < and < with; gives nested tuples."""
+
+    def __init__(self, tokens):
+        self.tokens, self.at = tokens, 0
+
+    def peek(self):
+        return self.tokens[self.at] if self.at < len(self.tokens) else None
+
+    def level(self, name, below):
+        left = below()
+        while self.peek() == name:
+            self.at += 1
+            left = (name, left, below())
+        return left
+
+    def either(self):
+        return self.level("or", self.both)
+
+    def both(self):
+        return self.level("and", self.relaxed)
+
+    def relaxed(self):
+        left = self.operand()
+        while self.peek() == "with":
+            self.at += 1
+            left = ("with", left, self.operand())
+        return left
+
+    def operand(self):
+        self.at += 1
+        if self.tokens[self.at - 1] != "(":
+            return self.tokens[self.at - 1]
+        inner = self.either()
+        self.at += 1
+        return inner
+
+
+def value(tree):
+    """(obligation, all labels, chosen labels)."""
+    if isinstance(tree, str):
+        degree = next((d for d, names in L.OBLIGATIONS.items() if tree in names), L.UNKNOWN)
+        return degree, {tree}, {tree}
+    op, left, right = tree
+    a, b = value(left), value(right)
+    if op == "or":
+        return min(a[0], b[0]), a[1] | b[1], (b if b[0] < a[0] else a)[2]
+    if op == "and":
+        return max(a[0], b[0]), a[1] | b[1], a[2] | b[2]
+    degree = max(min(a[0], 0.3), round(a[0] - 0.2, 1)) if right in L.EXCEPTIONS else a[0]
+    return degree, a[1] | b[1], a[2] | b[2]
+
+
+def expression(rng, depth):
+    if depth == 0 or rng.random() < 0.3:
+        licence = rng.choice(["mit", "gpl-2", "lgpl-2.1", "apache-2", "cc-by-nc", "own-thing", "unlicense"])
+        if rng.random() < 0.2:
+            return [licence, "with", rng.choice(["llvm-exception", "odd-exception"])]
+        return [licence]
+    inner = [*expression(rng, depth - 1), rng.choice(["or", "and"]), *expression(rng, depth - 1)]
+    return ["(", *inner, ")"] if rng.random() < 0.6 else inner
+
+
+def test_expressions_against_recursive_parser():
+    rng = random.Random(6)
+    for _ in range(400):
+        tokens = expression(rng, 4)
+        text = " ".join(t.upper() if rng.random() < 0.3 else t for t in tokens).encode()
+        postfix, end = L.to_postfix(text, 0)
+        assert end == len(text)
+        degree, labels, chosen = value(Recursive(tokens).either())
+        assert L.evaluate(postfix) == (degree, sorted(labels), sorted(chosen))
+
+
+def found(text):
+    _, _, expressions, score = L.scan_text(text.encode())
+    return [(text[s:e], postfix, chosen) for s, e, postfix, _, chosen, _ in expressions], score
+
+
+def test_tags_and_unfinished_expressions():
+    assert found("é // SPDX-License-Identifier: (MIT OR GPL-2.0-only) AND BSD-3-Clause */\nnext") == (
+        [("(MIT OR GPL-2.0-only) AND BSD-3-Clause", "mit gpl-2 or bsd-3-clause and", ["bsd-3-clause", "mit"])], 0.3)
+    assert found('"license": "Apache-2.0",') == ([("Apache-2.0", "apache-2", ["apache-2"])], 0.3)
+    assert found("license = GPL-2.0+ WITH Classpath-exception-2.0") == (
+        [("GPL-2.0+ WITH Classpath-exception-2.0", "gpl-2 classpath-exception-2 with",
+          ["classpath-exception-2", "gpl-2"])], 0.5)
+    assert found("License: see below") == ([], 0.0)
+    assert found("the license of MIT") == ([], 0.0)
+    assert found("SPDX-License-Identifier: LicenseRef-own")[0][0][1] == "licenseref-own"
+    assert found("SPDX-License-Identifier: MIT AND (")[0] == [("MIT", "mit", ["mit"])]
+    assert found("SPDX-License-Identifier: ((MIT OR ISC")[0] == [("((MIT OR ISC", "mit isc or", ["mit"])]
+    assert found("SPDX-License-Identifier: MIT ISC")[0] == [("MIT", "mit", ["mit"])]
+    assert found("SPDX-License-Identifier: MIT) or ISC")[0] == [("MIT", "mit", ["mit"])]
+    assert found("SPDX-License-Identifier: and MIT") == ([], 0.0)
+    assert found("SPDX-License-Identifier: GPL-2.0 with (MIT)")[0] == [("GPL-2.0", "gpl-2", ["gpl-2"])]
+    assert found("SPDX-License-Identifier:\nMIT") == ([], 0.0)
+    assert found("License: MIT. License: ISC.")[0] == [("MIT", "mit", ["mit"]), ("ISC", "isc", ["isc"])]
+
+
+def test_very_long_expressions_and_nested_tags():
+    text = "SPDX-License-Identifier: " + "(" * 50_000 + "MIT" + " OR ISC)" * 50_000
+    (place,), _ = found(text)
+    assert place[0] == text[25:] and place[2] == ["mit"]
+    text = "license: (" * 20_000
+    assert found(text) == ([], 0.0)
+    text = "SPDX-License-Identifier: " + " AND ".join(f"own-{i}" for i in range(30_000))
+    assert len(found(text)[0][0][2]) == 30_000
+
+
+def test_awkward_rows_and_empty_table(spark):
+    rows = queries._license_digest(awkward(spark)).collect()
+    assert len(rows) == 10
+    by_id = {}
+    for row in rows:
+        by_id.setdefault(row.doc_id, row)
+    assert digest(by_id[1]) == (0, 0, None, None, "") and by_id[1].labels == "" and by_id[1].score == 0
+    assert by_id[6].n_words == 60_000
+    assert queries._license_digest(no_documents(spark)).count() == 0
