@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import (
     decontaminate, filter_audit, fingerprint, language_id, license_scan, packing, quality, role_repair,
-    secret_scan, simhash_dedup, substring_dedup, token_counts,
+    secret_scan, simhash_dedup, spelling_variants, substring_dedup, token_counts,
 )
 from tallyspark.llm.common import read_table
 
@@ -93,6 +93,10 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _license_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 #: The others have no SQL form that is usable on whole tables.
