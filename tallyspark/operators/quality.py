@@ -254,7 +254,7 @@ def assert_row_count_match(df1: DataFrame, df2: DataFrame, label: str = "") -> N
     row = _side_totals(df1, df2, F.count(F.lit(1))).first()
     a, b = row["_l"], row["_r"]
     where = f" ({label})" if label else ""
-    assert a == b, f"Row count mismatch{where}: {a} vs {b}"
+    assert a == b, f"Row count mismatch{where}: {a} rows on one side, {b} on the other"
 
 
 def assert_profit_reconciliation(source_df: DataFrame, agg_df: DataFrame,
@@ -262,4 +262,5 @@ def assert_profit_reconciliation(source_df: DataFrame, agg_df: DataFrame,
                                  agg_col: str = "total_profit") -> None:
     row = money_totals(source_df, agg_df, source_col, agg_col).first()
     assert row["matched"], (
-        f"Profit mismatch: source={row['source_total']}, aggregate={row['aggregate_total']}")
+        f"Profit mismatch: the rows add up to {row['source_total']}, the table of totals to "
+        f"{row['aggregate_total']}")

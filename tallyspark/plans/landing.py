@@ -1,11 +1,11 @@
 """The reference's source files as the three pipeline sources.
 
 * customers: CSV with a header, Latin-1, quoted fields with newlines
-  (addresses), so it is read with ``multiLine`` (one task per file: land
-  large customer exports as many files);
+  (addresses); a large file is read by many tasks (``split=True``);
 * products: plain CSV with a header (splittable);
-* orders: a pretty-printed JSON array, read with ``multiLine``; NDJSON is
-  read the same way with ``orders_multi_line=False`` and splits by block.
+* orders: a pretty-printed JSON array, a large one read by many tasks where
+  ``orders_schema`` is given; NDJSON is read with ``orders_multi_line=False``
+  and splits by block.
 
 CSV columns are found by their names in the header, read as text and typed by
 the enrichment layer (price with ``try_cast``, dates with ``try_to_date``), so
@@ -13,7 +13,7 @@ a shifted record never fails the read. A record with too many or too few
 fields keeps its text in the column CORRUPT, which the raw layer carries and
 counts. The JSON key names of the orders file are not fixed, so without
 ``orders_schema`` its schema is inferred (one extra pass), as the reference
-does; with one, records that do not parse are kept in CORRUPT too.
+does, by one task per file; with one, records that do not parse are kept in CORRUPT too.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import SparkSession
 from tallyspark.plans.star import Sources
 from tallyspark.sources import files
 
+# The header names of the files.
 CUSTOMER_COLUMNS = ("Customer ID", "Customer Name", "email", "phone", "address", "Segment",
                     "Country", "City", "State", "Postal Code", "Region")
 PRODUCT_COLUMNS = ("Product ID", "Category", "Sub-Category", "Product Name", "State",
@@ -41,9 +42,10 @@ def reference_files(spark: SparkSession, customers: str, products: str, orders:
                     customers_encoding: str = "latin1") -> Sources:
     return Sources(
         customers=files.read_csv(spark, customers, _text_schema(CUSTOMER_COLUMNS), multi_line=True,
-                                 encoding=customers_encoding, corrupt_column=CORRUPT),
+                                 encoding=customers_encoding, corrupt_column=CORRUPT, split=True),
         products=files.read_csv(spark, products, _text_schema(PRODUCT_COLUMNS),
                                 corrupt_column=CORRUPT),
         orders=files.read_json(spark, orders, orders_schema, multi_line=orders_multi_line,
-                               corrupt_column=CORRUPT if orders_schema else None),
+                               corrupt_column=CORRUPT if orders_schema else None,
+                               split=orders_multi_line and orders_schema is not None),
     )

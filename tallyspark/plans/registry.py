@@ -321,6 +321,15 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, DOCUMENT_SCHEMA, multi_line=True, encoding="latin1")
 
 
+def q_csv_split(spark, sf_dir):
+    """Documents through a Latin-1 CSV with quoted newlines, each file read
+    back by as many tasks as it has blocks."""
+    path = shared_dir(spark, "csv-split")
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    files.write_csv(docs, path, encoding="latin1")
+    return files.read_csv(spark, path, DOCUMENT_SCHEMA, multi_line=True, encoding="latin1", split=True)
+
+
 PRODUCT_SOURCE_SCHEMA = ("`Product ID` string, `Category` string, `Sub-Category` string, "
                          "`Product Name` string, `Price per product` string")
 
@@ -358,6 +367,15 @@ def q_json_array(spark, sf_dir):
     return _profit_as_double(standardize_column_names(back))
 
 
+def q_json_array_split(spark, sf_dir):
+    """S3: the order-line source as pretty-printed JSON arrays, each read back
+    by as many tasks as it has blocks."""
+    path = shared_dir(spark, "json-array-split")
+    files.write_json_arrays(star.order_source(spark, sf_dir), path)
+    back = files.read_json(spark, path, ORDER_SOURCE_SCHEMA, multi_line=True, split=True)
+    return _profit_as_double(standardize_column_names(back))
+
+
 def q_overwrite_idempotent(spark, sf_dir):
     """The enriched table written twice with overwrite, by its
     plain name in a current schema of its own, reads back as one copy."""

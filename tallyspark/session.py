@@ -9,6 +9,8 @@ import re
 import shlex
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -102,6 +104,19 @@ def size_shuffles(spark: SparkSession, paths: list[str]) -> int:
     return wanted
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package (as ``--py-files`` would), once per context."""
+    context = spark.sparkContext
+    if not getattr(context, "_tallyspark_shipped", False):
+        top = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(), "tallyspark_package.zip")
+        with zipfile.ZipFile(archive, "w") as file:
+            for part in top.rglob("*.py"):
+                file.write(part, part.relative_to(top.parent))
+        context.addPyFile(str(archive))
+        context._tallyspark_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``. Only a
     session on one machine (local runs, tests) gets a folder of its own where
