@@ -313,6 +313,7 @@ ORACLE["q_quality_report"] = _quality_report_sql()
 ORACLE["q_raw_quality"] = _raw_quality_sql()
 
 ORACLE["q_csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE["q_incremental_summary"] = SUMMARY + "\nSELECT * FROM summary"
 ORACLE["q_csv_split"] = ORACLE["q_csv_roundtrip"]
 ORACLE["q_json_array_split"] = ORACLE["q_standardize_columns"]
 ORACLE["q_json_roundtrip"] = ORACLE["q_standardize_columns"]

@@ -8,12 +8,16 @@ check counts the stored table, which parquet answers from file footers.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tallyspark.sources import snapshots
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None,
@@ -97,17 +101,22 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
     2. ``gate`` gets the *stored* versions (a cheap columnar re-read) and can
        use ``observed``; it raises to stop, and nothing has been published
        yet, so the current tables stay as they were;
-    3. each table name is pointed at its new folder (a catalog operation per
-       table: a failure between two of them leaves some tables new and some
-       old, and a re-run mends it);
-    4. of each table's version folders, the newest ``keep_versions`` stay
-       (readers of the version before can finish); older ones are deleted.
+    3. all tables are published at once, as the next snapshot of the root
+       (``sources.snapshots``): who reads ``snapshots.latest`` sees all of
+       them or none, and of two jobs that replace a table one fails;
+    4. each table name is pointed at its new folder. That is a catalog
+       operation per table; after a failure between two of them
+       ``point_names`` mends the names from the snapshot;
+    5. of the root's snapshots, the newest ``keep_versions`` stay (readers of
+       the one before can finish); folders that only older ones name are
+       deleted.
 
     A re-run writes a new version and re-points the name, so the result is
     the same; a run that dies mid-way leaves an unpublished folder behind,
     never a half-written table.
     """
     run = uuid.uuid4().hex[:12]
+    base = snapshots.latest(spark, location_root)
     observed = {} if observed is None else observed
     paths, written = {}, {}
     for name, df in tables.items():
@@ -122,24 +131,20 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], locatio
               for name, path in paths.items()}
     if gate is not None:
         gate(staged)
-    for name, path in paths.items():
-        _point(spark, name, path, fmt, tables[name].schema)
-        _drop_old_versions(spark, path, keep_versions)
+    made = snapshots.commit(spark, base, {
+        name: snapshots.TableVersion.of(tables[name], path, written[name]) for name, path in paths.items()})
+    point_names(spark, made, list(paths), fmt)
+    snapshots.expire(spark, location_root, keep_versions)
     return written
 
 
-def _drop_old_versions(spark: SparkSession, current: str, keep: int) -> None:
-    """Deletes all but the newest ``keep`` version folders beside ``current``,
-    and never ``current``."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    here = hadoop.Path(current)
-    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [s for s in fs.listStatus(here.getParent())
-                if s.isDirectory() and s.getPath().getName().startswith("v-")
-                and s.getPath().getName() != here.getName()]
-    versions.sort(key=lambda s: s.getModificationTime(), reverse=True)
-    for status in versions[max(keep, 1) - 1:]:
-        fs.delete(status.getPath(), True)
+def point_names(spark: SparkSession, snapshot: snapshots.Snapshot, names: Sequence[str] | None = None,
+                fmt: str = "parquet") -> None:
+    """Points catalog names (default: all of the snapshot that have one
+    folder) at the snapshot's folders; can be repeated."""
+    for name, version in snapshot.tables.items():
+        if list(version.folders) == [""] and (names is None or name in names):
+            _point(spark, name, version.folders[""], fmt, StructType.fromJson(json.loads(version.schema)))
 
 
 def _point(spark: SparkSession, name: str, path: str, fmt: str, schema) -> None:
