@@ -3,17 +3,14 @@ results, and vectorised hashing of words and word n-grams."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.session import shared_dir
+from tallyspark.session import shared_dir, ship_package
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -22,28 +19,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package (as ``--py-files`` would), once per context."""
-    context = spark.sparkContext
-    if not getattr(context, "_tallyspark_shipped", False):
-        top = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(), "tallyspark_package.zip")
-        with zipfile.ZipFile(archive, "w") as file:
-            for part in [*top.glob("*.py"), *top.glob("llm/*.py")]:
-                file.write(part, part.relative_to(top.parent))
-        context.addPyFile(str(archive))
-        context._tallyspark_shipped = True
-
-
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` on executors that have this package."""
-    _ship_package(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
 def map_pandas(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInPandas`` on executors that have this package."""
-    _ship_package(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInPandas(fn, schema)
 
 
@@ -62,11 +46,37 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+_open_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes inside are deleted at the end, also on
+    failure: for callers that have stored their result elsewhere by then."""
+    paths: list[str] = []
+    _open_scratch.append(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(paths)
+        delete(spark, paths)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts
-    lineage, and survives the loss of any executor."""
+    lineage, and survives the loss of any executor. A ``path`` that the caller
+    names is the caller's to delete."""
     spark = df.sparkSession
-    path = shared_dir(spark, purpose)
+    if path is None:
+        path = shared_dir(spark, purpose)
+        if _open_scratch:
+            _open_scratch[-1].append(path)
     with _shuffle_files_removed(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
