@@ -39,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tallyspark.llm.common import map_arrow, map_pandas, stored, utf8
 
@@ -249,7 +250,8 @@ def _grouped(docs: DataFrame, keys: tuple, shingle: int, radius: int, tree_size:
     linked = stored(
         points.join(groups, points.fingerprint == groups.x, "left")
         .select("fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root")), "groups")
-    ids = linked.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    # stored, as in components: a giant group's join can be split
+    ids = stored(linked.groupBy("root").agg(F.min("first_doc").alias("component_id")), "group-ids")
     return prints.join(linked.join(ids, "root").select("fingerprint", "root", "component_id"),
                        "fingerprint")
 
@@ -262,13 +264,29 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int =
                     "component_id"))
 
 
+def hashable(schema: StructType, row: str) -> list[Column]:
+    """The fields of a struct column, those that hold maps or variants as JSON
+    text: nothing else hashes them."""
+    def plain(kind: DataType) -> bool:
+        if isinstance(kind, (MapType, VariantType)):
+            return False
+        if isinstance(kind, ArrayType):
+            return plain(kind.elementType)
+        return not isinstance(kind, StructType) or all(plain(f.dataType) for f in kind.fields)
+
+    # by position: names may repeat but for their case, or hold dots
+    names = [f"`{f.name.replace('`', '``')}`" for f in schema.fields]
+    return [F.col(f"{row}.{n}") if plain(f.dataType) else F.to_json(F.struct(F.col(f"{row}.{n}").alias("x")))
+            for n, f in zip(names, schema.fields, strict=True)]
+
+
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
                   tree_size: int = TREE_SIZE) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the row with
     the least ``doc_id`` stays (of rows that share it, one; null ids come last)."""
     marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("text").cast("string").alias("text"))
-    marked = marked.withColumn("mark", F.xxhash64("row")).withColumn(
+    marked = marked.withColumn("mark", F.xxhash64(*hashable(docs.schema, "row"))).withColumn(
         "place", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     winners = (_grouped(marked, ("doc_id", "mark"), shingle, radius, tree_size)
                .groupBy("root").agg(F.min(F.struct(

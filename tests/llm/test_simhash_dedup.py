@@ -102,3 +102,14 @@ def test_one_large_group_of_copies(spark):
     docs = documents(spark, ["the same text in every copy of it"] * 400 + [f"text number {i * 31} alone {i}" for i in range(40)])
     got = {r["doc_id"]: r["component_id"] for r in S.near_duplicate_groups(docs).collect()}
     assert {got[i] for i in range(400)} == {0}
+
+
+def test_columns_of_any_type_and_no_aggregate_under_the_last_joins(spark):
+    docs = documents(spark, ["a text", "a text", None, "another one here"]).selectExpr(
+        "*", "map('k', doc_id) AS tags", "array(map('a', 1)) AS nested", "named_struct('m', map(1, 2)) AS deep",
+        "parse_json('[1]') AS v", "1 AS `odd.name`")
+    kept = S.one_per_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
+    plan = S.near_duplicate_groups(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "Aggregate" not in plan
