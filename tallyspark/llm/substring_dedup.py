@@ -112,7 +112,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> Dat
                 .otherwise(F.transform("offsets", lambda o: F.struct(
                     (F.col("first") + o).alias("first"),
                     (F.col("first") + o).alias("last"))))).alias("range")))
-    return hits.groupBy("doc_id", "text_id").agg(F.collect_list("range").alias("ranges"))
+    # repeated rows of a document give equal ranges; stored, so that the join with it can be split
+    return stored(hits.groupBy("doc_id", "text_id").agg(F.collect_set("range").alias("ranges")), "ranges")
 
 
 def _verified(docs: DataFrame, sources: DataFrame, window: int) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import common, queries
 from tallyspark.llm import substring_dedup as D
@@ -88,3 +89,11 @@ def test_word_hashes_agree_with_words():
     assert (hashes[0] == hashes[4]) and (hashes[1] == hashes[5]) and len(set(hashes.tolist())) == len(set(words))
     grams = common.gram_hashes(np.tile(hashes, 2), 3)
     assert (grams[:5] == grams[7:12]).all() and common.gram_hashes(hashes, 99).size == 0
+
+
+def test_repeated_rows_give_their_ranges_once(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    copies = spark.range(300).select(F.lit(1).alias("doc_id"), F.lit(text).alias("text"))
+    docs = documents(spark, [text]).select("doc_id", "text").unionByName(copies)
+    (row,) = D.repeated_ranges(docs).collect()
+    assert row["doc_id"] == 1 and len(row["ranges"]) == len(set(map(tuple, row["ranges"]))) < 20
