@@ -53,6 +53,10 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"  # looking back only saves time: a match sta
 
 TOKEN = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}"
 
+# Words of credentials, at most a few signs and words before a run.
+CONTEXT = (r"(?i)(?:key|token|secret|passw|pwd|auth|bearer|credential|signature|cookie|session)[a-z]*"
+           r"""[^A-Za-z0-9\n]{0,8}(?:(?:is|was|value|header|id)[^A-Za-z0-9\n]{1,8}){0,2}\z""")
+
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: (what a run of the encoding looks like, its alphabet), the narrowest first
 ENCODINGS = (
@@ -249,15 +253,21 @@ def scan(docs: DataFrame, level: float = LEVEL) -> DataFrame:
 
 
 def _cleaned(pieces: Column, kind: str, judged: Callable[[Column], Column]) -> Column:
+    def before(p: Column) -> Column:
+        return F.substring(p["piece"], F.lit(1), F.length(p["piece"]) - F.length(p["match"]))
+
+    def secret(p: Column) -> Column:
+        return judged(p["judged"]) & (before(p).rlike(CONTEXT) if kind == "random" else F.lit(True))
+
     return F.array_join(F.transform(pieces, lambda p: F.when(
-        (p["match"] != "") & judged(p["judged"]),
-        F.concat(F.substring(p["piece"], F.lit(1), F.length(p["piece"]) - F.length(p["match"])),
-                 F.lit(f"[{kind}]"))).otherwise(p["piece"])), "")
+        (p["match"] != "") & secret(p), F.concat(before(p), F.lit(f"[{kind}]"))).otherwise(p["piece"])), "")
 
 
 def redact(docs: DataFrame, level: float = LEVEL) -> DataFrame:
     """The documents with every secret in the text replaced by its kind in
-    brackets, kind by kind; all other columns as they are."""
+    brackets, kind by kind; all other columns as they are. ``random`` runs go
+    only where a word just before them speaks of a credential (CONTEXT):
+    looking random is no proof, and long identifiers can."""
     def without(kind: str, pattern: str, group: int, maybe: str, judged) -> Column:
         text = F.col("text")
         return _let(_pieces(text, pattern, group, maybe), lambda pieces: F.when(

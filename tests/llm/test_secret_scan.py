@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
 
+from pyspark.sql import functions as F
+
 from tallyspark.llm import queries
 from tallyspark.llm import secret_scan as S
 from tests.llm.helpers import awkward, documents, no_documents
@@ -71,6 +74,38 @@ def test_redaction(spark):
     assert got == {0: "my [assign] and [access].", 1: "nothing here", 2: None, 3: ""}
 
 
+def test_redaction_leaves_identifiers_and_needs_a_context(spark):
+    rng = random.Random(12)
+    letters = string.ascii_letters + string.digits
+    random_ones = [token(rng, letters, n) for n in range(22, 64, 2)]
+    names = ["getUserAccountById2019Handler", "com/example/service2/UserAccountRepository3Impl",
+             "2024-03-05T10-22-31-000Z-release-1", "libstdcpp-6-0-30-x86-64-linux-gnu", "Version2Point11Point4OfTheParser",
+             "TestCase00123456789WithNumbers", "utf8mb4-general-ci-collation-id45", "HTTP2ConnectionPoolManager01"]
+    plain = [f"call {n} now" for n in names] + [f"see {t} here" for t in random_ones]
+    secrets = [f"the session cookie is {t} here" for t in random_ones] + [f"Authorization: Bearer {t}" for t in random_ones]
+    got = {r["doc_id"]: r["text"] for r in S.redact(documents(spark, plain + secrets)).collect()}
+    assert [got[i] for i in range(len(plain))] == plain
+    redacted = [got[i] for i in range(len(plain), len(got))]
+    assert sum("[random]" in t for t in redacted) >= 0.9 * len(redacted)
+
+
+def test_dismissal_equals_a_plain_procedure(spark):
+    """Benjamini-Hochberg over p-values rounded up to the grid, class by class."""
+    rng = random.Random(13)
+    tokens = [token(rng, "0123456789abcdef", rng.choice([24, 32, 48])) for _ in range(150)]
+    tokens += [(w * 20)[:40] for w in ("ab12", "a1", "c3d", "0a", "f00d1")] * 4
+    docs = documents(spark, [" ".join(tokens[i::10]) for i in range(10)])
+    rows = spark.createDataFrame([(t,) for t in tokens], "t string").select(
+        S._length_class(F.col("t")), S._cell(S._p_value(F.col("t")))).collect()
+    want = {}
+    for length in {r[0] for r in rows}:
+        p = sorted(math.exp(-r[1] / 20) for r in rows if r[0] == length and r[1] is not None)
+        passed = [x for rank, x in enumerate(p, 1) if x <= S.LEVEL * sum(y <= x for y in p) / len(p)]
+        if passed:
+            want[length] = round(-20 * math.log(max(passed)))
+    assert want and S.dismissal_cells(docs) == want
+
+
 def test_awkward_rows(spark):
     many = "token=abcdef1 " * 3000
     docs = awkward(spark).unionByName(awkward(spark).limit(1).selectExpr(
