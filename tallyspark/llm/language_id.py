@@ -20,8 +20,9 @@ how well it fits: the gain in log probability a byte over the untrained model (a
 pieces alike) must be at least MIN_FIT of the language's own gain over its sample.
 
 Words are runs of bytes other than ASCII non-letters, lower-cased, with a
-space in front; a word of more than WORD_BYTES bytes is scored in runs of that
-length. Text that is null or has no letter is ``und`` with score 0, as is all
+space in front, of any length: longer ones than BLOCK_BYTES are summed one at a
+time, with a rescaled alpha. Of languages that score alike the first in
+code-point order is predicted. Text that is null or has no letter is ``und`` with score 0, as is all
 text where there is nothing to learn from. A null ``doc_id`` is neither learned
 from nor held out. Rows with a null ``lang`` are only scored. Repeated rows are
 learned from once and scored as often as they occur. Extra columns are ignored.
@@ -44,8 +45,7 @@ from tallyspark.llm.vocabulary import Trie, load_trie
 SAMPLE_DOCS = 1000
 ROUNDS = 3
 SMOOTHING = 0.01
-MAX_PIECE = 12
-WORD_BYTES = 32
+BLOCK_BYTES = 32  # longer words are summed one at a time
 MEMO_WORDS = 200_000
 BLOCK_DOCS = 256
 MIN_SCORE = 0.5
@@ -112,8 +112,62 @@ class Lattice:
             yield rows, piece, alpha[start, rows] * after / total[rows] * count[rows]
 
 
-def runs(word: bytes) -> list[bytes]:
-    return [word[at:at + WORD_BYTES] for at in range(0, len(word), WORD_BYTES)]
+class LongWord:
+    """Sums over the segmentations of one word of any length. Alpha is kept for
+    as many positions as a piece is long and rescaled as it shrinks."""
+
+    def __init__(self, trie: Trie, word: bytes) -> None:
+        letters = np.frombuffer(b" " + word, np.uint8)
+        self.length = len(letters)
+        starts, node, found = np.arange(self.length), np.zeros(self.length, np.int32), []
+        for size in range(1, self.length + 1):
+            node = trie.next[node, letters[starts + size - 1]]
+            alive = node > 0
+            starts, node = starts[alive], node[alive]
+            known = trie.piece[node] >= 0
+            found.append((starts[known], np.full(known.sum(), size), trie.piece[node[known]]))
+            more = starts + size < self.length
+            starts, node = starts[more], node[more]
+            if not len(starts):
+                break
+        start, size, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(start, kind="stable")
+        self.start, self.size, self.piece = start[order], size[order], piece[order]
+
+    def _logs(self, at: np.ndarray, size: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Log of the sum over all ways from the first position to each, by
+        arcs in the order of their start."""
+        cut = np.searchsorted(at, np.arange(self.length + 1))
+        window = np.zeros((int(self.size.max()) + 1, *p.shape[1:]))
+        window[0] = 1
+        log = np.zeros((self.length + 1, *p.shape[1:]))
+        scale = np.zeros(p.shape[1:])
+        for i in range(self.length):
+            here = window[0].copy()
+            log[i] = scale + np.log(here)
+            arcs = slice(cut[i], cut[i + 1])
+            window[size[arcs]] += here * p[arcs]
+            window[:-1] = window[1:]
+            window[-1] = 0
+            most = window.max(axis=0)
+            if (most < 1e-100).any():
+                window /= most
+                scale = scale + np.log(most)
+        log[-1] = scale + np.log(window[0])
+        return log
+
+    def log_likelihood(self, table: np.ndarray) -> np.ndarray:
+        """By column of the table (pieces x columns)."""
+        return self._logs(self.start, self.size, table[self.piece])[-1]
+
+    def expected(self, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces, expected occurrences of each in one occurrence of the word)."""
+        p = column[self.piece]
+        alpha = self._logs(self.start, self.size, p)
+        back = self.length - self.start - self.size  # the word from its end
+        order = np.argsort(back, kind="stable")
+        beta = self._logs(back[order], self.size[order], p[order])[::-1]
+        return self.piece, np.exp(alpha[self.start] + np.log(p) + beta[self.start + self.size] - alpha[-1])
 
 
 class Model:
@@ -136,15 +190,16 @@ class Model:
         if at + len(words) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros(
                 (at + 2 * len(words), self.scores.shape[1]))])
-        cut = [runs(w) for w in words]
-        first = np.cumsum([0, *map(len, cut[:-1])])
-        flat = [r for c in cut for r in c]
-        logs = np.empty((len(flat), self.table.shape[1]))
-        for a in range(0, len(flat), 8192):
-            lattice = Lattice(trie, flat[a:a + 8192])
+        short = [i for i, w in enumerate(words) if len(w) <= BLOCK_BYTES]
+        logs = np.empty((len(words), self.table.shape[1]))
+        for a in range(0, len(short), 8192):
+            some = short[a:a + 8192]
+            lattice = Lattice(trie, [words[i] for i in some])
             alpha = lattice.forward(lambda rows, piece: self.table[piece])
-            logs[a:a + 8192] = np.log(alpha[lattice.length, np.arange(len(lattice.length))])
-        self.scores[at:at + len(words)] = np.add.reduceat(logs, first)
+            logs[some] = np.log(alpha[lattice.length, np.arange(len(some))])
+        for i in set(range(len(words))).difference(short):
+            logs[i] = LongWord(trie, words[i]).log_likelihood(self.table)
+        self.scores[at:at + len(words)] = logs
         self.memo.update(zip(words, range(at, at + len(words)), strict=True))
 
     def log_likelihoods(self, trie: Trie, docs: list[list[bytes]]) -> np.ndarray:
@@ -189,14 +244,14 @@ def _train(docs: DataFrame, ranks: str, sample_docs: int, rounds: int = ROUNDS)
         for pdf in batches:
             seen = Counter()
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                seen.update((lang, r) for w in words_of(text) for r in runs(w))
+                seen.update((lang, w) for w in words_of(text))
             yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["lang", "word", "n"])
 
     words = stored(_sample(docs, sample_docs)
                    .transform(map_pandas, count_words, "lang string, word binary, n long")
                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "sample-words")
     languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
-    pieces = len(load_trie(ranks, MAX_PIECE).pieces)
+    pieces = len(load_trie(ranks).pieces)
     table = np.full((pieces, len(languages)), 1 / pieces)
     for _ in range(rounds if languages else 0):
         counts = np.full(table.shape, SMOOTHING)
@@ -210,10 +265,15 @@ def _expected(words: DataFrame, ranks: str, languages: list[str], table: np.ndar
     shared = words.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie, table = load_trie(ranks, MAX_PIECE), shared.value
+        trie, table = load_trie(ranks), shared.value
         number = {lang: i for i, lang in enumerate(languages)}
         total = np.zeros(table.shape)
         for pdf in batches:
+            long = pdf["word"].map(len) > BLOCK_BYTES
+            for lang, word, n in pdf[long].itertuples(index=False):
+                piece, times = LongWord(trie, bytes(word)).expected(table[:, number[lang]])
+                np.add.at(total, (piece, number[lang]), times * n)
+            pdf = pdf[~long]
             for at in range(0, len(pdf), 8192):
                 part = pdf[at:at + 8192]
                 language = part["lang"].map(number).to_numpy(np.int64)
@@ -230,8 +290,8 @@ def _expected(words: DataFrame, ranks: str, languages: list[str], table: np.ndar
 
 
 def _bytes(words: list[bytes]) -> int:
-    """Bytes that are scored: each run has a space in front."""
-    return sum(len(w) - (-len(w) // WORD_BYTES) for w in words)
+    """Bytes that are scored: each word has a space in front."""
+    return sum(map(len, words)) + len(words)
 
 
 def _least_fit(model: Model, words: DataFrame, ranks: str, min_fit: float) -> np.ndarray:
@@ -240,7 +300,7 @@ def _least_fit(model: Model, words: DataFrame, ranks: str, min_fit: float) -> np
     shared = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, trie = shared.value, load_trie(ranks, MAX_PIECE)
+        model, trie = shared.value, load_trie(ranks)
         number = {lang: i for i, lang in enumerate(model.languages)}
         for pdf in batches:
             known = [[bytes(w)] for w in pdf["word"]]
@@ -259,7 +319,7 @@ def _least_fit(model: Model, words: DataFrame, ranks: str, min_fit: float) -> np
 def _predict(model, ranks: str, texts: list[str | None], least: np.ndarray | None = None
              ) -> tuple[list[str], np.ndarray]:
     """``least`` belongs to a model with a background: texts that fit worse are ``und``."""
-    trie = load_trie(ranks, MAX_PIECE)
+    trie = load_trie(ranks)
     names, scores = [], []
     for at in range(0, len(texts), BLOCK_DOCS):
         block = texts[at:at + BLOCK_DOCS]

@@ -48,6 +48,48 @@ def test_forward_and_expected_counts_sum_over_all_segmentations():
     assert np.allclose(counts, want)
 
 
+def test_long_words_against_exact_sums_and_short_ones():
+    from fractions import Fraction
+
+    trie = Trie([b" a", b"ab", b"abc", b"bc", b" ab", b"ca", b"abcabc"])
+    numbers = {p: i for i, p in enumerate(trie.pieces)}
+    rng = np.random.default_rng(4)
+    table = rng.random((len(trie.pieces), 3)) * 1e-9
+    for word in (b"abcab" * 40, b"q" * 300, b"abc"):
+        text = b" " + word
+        for c in range(3):
+            p = {piece: Fraction(float(table[i, c])) for piece, i in numbers.items()}
+            sums = [Fraction(1)]
+            for end in range(1, len(text) + 1):
+                sums.append(sum(sums[end - n] * p[text[end - n:end]] for n in range(1, min(7, end) + 1)
+                                if text[end - n:end] in p))
+            want = _log(sums[-1].numerator) - _log(sums[-1].denominator)
+            assert np.isclose(L.LongWord(trie, word).log_likelihood(table)[c], want, rtol=1e-12)
+    lattice = L.Lattice(trie, [b"abcab"])
+    counts, other = np.zeros(len(trie.pieces)), np.zeros(len(trie.pieces))
+    for _, piece, n in lattice.expected(lambda rows, piece: table[piece, 0], np.array([1.0])):
+        np.add.at(counts, piece, n)
+    np.add.at(other, *L.LongWord(trie, b"abcab").expected(table[:, 0]))
+    assert np.allclose(counts, other)
+    pieces, times = L.LongWord(trie, b"abcab" * 100).expected(table[:, 0])
+    lengths = np.array([len(p) for p in trie.pieces])
+    assert np.isclose((lengths[pieces] * times).sum(), 501) and not np.isnan(times).any()
+
+
+def _log(x: int) -> float:
+    """Natural logarithm of a large integer."""
+    shift = max(x.bit_length() - 1000, 0)
+    return float(np.log(float(x >> shift))) + shift * float(np.log(2))
+
+
+def test_every_piece_of_the_vocabulary_is_used():
+    import base64
+
+    with open(RANKS, "rb") as file:
+        pieces = {base64.b64decode(line.split()[0]) for line in file}
+    assert pieces <= set(L.load_trie(RANKS).pieces) and max(map(len, pieces)) > 12
+
+
 def test_held_out_accuracy_and_columns_of_the_query(spark, sf_dir):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op9_language_id(spark, sf_dir).collect()
