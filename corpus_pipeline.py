@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import decontaminate, language_id, packing, secret_scan, simhash_dedup
-from tallyspark.llm.common import read_table, stored
+from tallyspark.llm.common import delete, read_table, scratch, stored
+from tallyspark.session import shared_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """Only the last stage's output stays in the shared folder."""
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = shared_dir(spark, f"stage-{name}")
+        try:
+            with scratch(spark):
+                docs = stored(stage(spark, docs, sf_dir), name, path)
+        except BaseException:
+            delete(spark, [path])
+            raise
+        finally:
+            delete(spark, before)
+        before = [path]
     return docs
