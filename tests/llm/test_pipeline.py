@@ -93,3 +93,25 @@ def test_run_is_registered_and_chains_the_stages(spark, planted):
 def test_ten_operators_are_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark, planted, monkeypatch):
+    import os
+
+    from tallyspark.session import checkpoint_root
+
+    sf_dir, *_ = planted
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(os.listdir(root))
+    packed = C.run(spark, sf_dir)
+    left = set(os.listdir(root)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("stage-packing") and packed.count() > 0
+
+    def fails(spark, docs, sf_dir):
+        stored(docs, "half-way")
+        raise OSError("lost")
+
+    monkeypatch.setattr(C, "STAGES", [*C.STAGES[:2], ("fails", fails)])
+    with pytest.raises(OSError, match="lost"):
+        C.run(spark, sf_dir)
+    assert set(os.listdir(root)) - before == left
