@@ -313,6 +313,32 @@ ORACLE["q_quality_report"] = _quality_report_sql()
 ORACLE["q_raw_quality"] = _raw_quality_sql()
 
 ORACLE["q_csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+
+def _dependency_sql(determinant: str, dependent: str) -> str:
+    return f"""
+SELECT '{determinant} -> {dependent}' AS dependency, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS "rows",
+       COUNT(*) AS "groups", COUNT(*) FILTER (WHERE v > 1) AS violating_groups,
+       CAST(COALESCE(SUM(n) FILTER (WHERE v > 1), 0) AS BIGINT) AS violating_rows,
+       CAST(COALESCE(SUM(n - m), 0) AS BIGINT) AS removed_rows
+FROM (SELECT SUM(c) AS n, MAX(c) AS m, COUNT(*) AS v
+      FROM (SELECT {determinant} AS x, {dependent} AS y, COUNT(*) AS c FROM enriched_orders GROUP BY ALL)
+      GROUP BY x)"""
+
+
+ORACLE["q_dependencies"] = STAR + " UNION ALL ".join(
+    _dependency_sql(*x) for x in (("product_id", "category"), ("product_id", "sub_category"),
+                                  ("sub_category", "category")))
+_QUARANTINE = {"null_category": "category IS NULL", "unparsed_date": "order_date IS NULL OR ship_date IS NULL",
+               "unmatched_customer": "customer_name IS NULL", "shipped_early": "ship_date < order_date",
+               "heavy_loss": "profit < -1000", "bulk": "quantity >= 49"}
+ORACLE["q_quarantine"] = STAR + """
+SELECT * FROM (SELECT order_id, line_number, concat_ws(',', """ + ", ".join(
+    f"CASE WHEN {condition} THEN '{name}' END" for name, condition in _QUARANTINE.items()) + """) AS failed_rules
+FROM enriched_orders) WHERE failed_rules <> ''"""
+ORACLE["q_verified_write"] = STAR + """
+SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_stored, TRUE AS matched FROM enriched_orders"""
+ORACLE["q_bucketed_profit_by_customer"] = ORACLE["q_profit_by_customer"]
 ORACLE["q_incremental_summary"] = SUMMARY + "\nSELECT * FROM summary"
 ORACLE["q_csv_split"] = ORACLE["q_csv_roundtrip"]
 ORACLE["q_json_array_split"] = ORACLE["q_standardize_columns"]

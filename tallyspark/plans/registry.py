@@ -15,8 +15,10 @@ from pyspark.sql.types import StringType
 from tallyspark.functions.names import standardized_name
 from tallyspark.operators import aggregate as agg
 from tallyspark.operators import quality as qa
+from tallyspark.operators.dependencies import Dependency, dependency_errors
 from tallyspark.operators.enrich import Dimension, enrich
 from tallyspark.operators.keyed import duplicate_summary, remove_duplicate_keys
+from tallyspark.operators.quarantine import write_split
 from tallyspark.operators.transforms import (
     cast_price_column,
     clean_customer_name,
@@ -29,7 +31,7 @@ from tallyspark.operators.transforms import (
 )
 from tallyspark.plans import layers, star
 from tallyspark.session import shared_dir
-from tallyspark.sources import files, tables
+from tallyspark.sources import checksums, files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,6 +308,31 @@ def q_raw_quality(spark, sf_dir):
     return raw_rules(star_raw(spark, sf_dir))
 
 
+PRODUCT_DEPENDENCIES = [Dependency(("product_id",), "category"), Dependency(("product_id",), "sub_category"),
+                        Dependency(("sub_category",), "category")]
+
+
+def q_dependencies(spark, sf_dir):
+    """Does a product id fix its category, a sub-category its category,
+    over the enriched lines (decoded ones included)?"""
+    lines = star_enriched(spark, sf_dir, ("product_id", "category", "sub_category"))
+    return dependency_errors(lines, PRODUCT_DEPENDENCIES).select(
+        "dependency", "rows", "groups", "violating_groups", "violating_rows", "removed_rows")
+
+
+def q_quarantine(spark, sf_dir):
+    """Enriched lines that break a rule, with the rules they break, set
+    aside in the pass that writes the others."""
+    lines = star_enriched(spark, sf_dir, (*ORDER_KEY, "order_date", "ship_date", "quantity", "profit", "category",
+                                          "customer_name"))
+    split = write_split(lines, {
+        "null_category": F.col("category").isNull(), "unparsed_date": layers.unparsed_date(),
+        "unmatched_customer": F.col("customer_name").isNull(), "shipped_early": F.col("ship_date") < F.col("order_date"),
+        "heavy_loss": F.col("profit") < -1000, "bulk": F.col("quantity") >= 49,
+    }, shared_dir(spark, "quarantine"))
+    return split.bad.select(*ORDER_KEY, F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 # --- S1-S9, L1: sources and sinks ---------------------------------------------
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -388,6 +415,31 @@ def q_overwrite_idempotent(spark, sf_dir):
     return spark.table(f"{database}.enriched_orders")
 
 
+def q_verified_write(spark, sf_dir):
+    """The enriched lines stored by category; a checksum of their content,
+    observed during the write, against the stored rows'."""
+    path, by = shared_dir(spark, "verified"), ["category"]
+    lines = star_enriched(spark, sf_dir)
+    wanted = checksums.write_observed(lines, path, by)
+    verdict = checksums.verify(spark.read.schema(lines.schema).parquet(path), wanted, by)
+    return spark.createDataFrame([(wanted.rows, verdict.stored.rows, verdict.matched)],
+                                 "rows_written bigint, rows_stored bigint, matched boolean")
+
+
+def q_bucketed_profit_by_customer(spark, sf_dir):
+    """Raw lines and customers stored by customer; their join and the
+    report shuffle neither."""
+    location = shared_dir(spark, "bucketed")
+    mark, buckets = location.rsplit("-", 1)[-1][:12], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    customers = layers.enriched_customers(layers.standardize(
+        star.customer_source(spark, sf_dir), layers.DEFAULT_SPECS["customers"]))
+    for name, df in (("raw_orders", raw_orders(spark, sf_dir, ("Order ID", "Customer ID", "Profit"))),
+                     ("customers", customers.select("customer_id", "customer_name", "country"))):
+        tables.write_bucketed(df, f"{name}_{mark}", path=f"{location}/{name}", keys=["customer_id"], buckets=buckets)
+    lines = layers.enriched_orders(spark.table(f"raw_orders_{mark}"), spark.table(f"customers_{mark}"), None)
+    return agg.profit_by_customer(lines)
+
+
 def q_raw_layer(spark, sf_dir):
     """The raw layer written once, gated on the stored rows,
     published as tables; (table, rows) read back."""
