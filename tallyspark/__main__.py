@@ -34,7 +34,10 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--show", type=int, default=10, help="rows of each report to print")
         p.add_argument("--no-verify-keys", action="store_true",
                        help="skip re-checking raw key uniqueness (guaranteed by the dedup)")
+        p.add_argument("--max-share", type=float, default=None,
+                       help="share of dates, prices or records that may fail to parse (default 0.05)")
     args = ap.parse_args(argv)
+    shares = {} if args.max_share is None else dict.fromkeys(job.MAX_SHARES, args.max_share)
 
     spark = build_session(args.master)
     if args.mode == "files":
@@ -42,11 +45,11 @@ def main(argv: list[str] | None = None) -> None:
         src = landing.reference_files(spark, args.customers, args.products, args.orders,
                                       args.orders_schema, orders_multi_line=not args.ndjson)
         run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, args.location,
-                             database=args.database, verify_keys=not args.no_verify_keys)
+                             database=args.database, verify_keys=not args.no_verify_keys, max_shares=shares)
     else:
         size_shuffles(spark, [f"{args.sf_dir}/lineitem.parquet", f"{args.sf_dir}/orders.parquet"])
         run = job.run(spark, args.sf_dir, args.location, database=args.database,
-                      verify_keys=not args.no_verify_keys)
+                      verify_keys=not args.no_verify_keys, max_shares=shares)
     print(json.dumps({"location": run.location, "written": run.written,
                       "duplicates_removed": run.duplicates_removed,
                       "reported": run.reported}))

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ from tallyspark.operators import quality as qa
 from tallyspark.operators.transforms import standardize_column_names, trim_string_columns
 from tallyspark.plans import layers
 from tallyspark.sources import snapshots
-from tallyspark.sources.snapshots import Snapshot, TableVersion
+from tallyspark.sources.snapshots import Snapshot, TableVersion, stage
 
 LEDGER, RAW, ENRICHED, SUMMARY = "ledger", "raw_orders", "enriched_orders", "profit_parts"
 CUSTOMERS, PRODUCTS = "enriched_customers", "enriched_products"
@@ -63,19 +62,6 @@ def landed_files(spark: SparkSession, folder: str) -> DataFrame:
             .select("path", "length", "modificationTime"))
 
 
-def _stage(spark: SparkSession, root: str, name: str, df: DataFrame, by_part: bool) -> TableVersion:
-    """Writes rows to a new folder; with ``by_part`` one folder for each value
-    of PART, which is not a column of the table."""
-    path = snapshots.new_folder(root, name)
-    if not by_part:
-        df.write.parquet(path)
-        return TableVersion.of(df, path)
-    # rows of a part meet in few files, a large part in several
-    df.hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(path)
-    names = [name for name in snapshots.list_names(spark, path) if name.startswith(f"{PART}=")]
-    return TableVersion.of(df.drop(PART), {unquote(n.removeprefix(f"{PART}=")): f"{path}/{n}" for n in names})
-
-
 def _changed_keys(old: DataFrame | None, new: DataFrame, key: str) -> DataFrame | None:
     """Keys of dimension rows that came, went or changed; None before the first run."""
     if old is None:
@@ -126,7 +112,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
     files = landed_files(spark, landing)
     if have(LEDGER):
         files = files.join(base.table(spark, LEDGER), files.columns, "left_anti")
-    ledger = _stage(spark, root, LEDGER, files, False)
+    ledger = stage(spark, root, LEDGER, files)
     # the names of the new files are what a reader needs: one short row a file
     paths = [r[0] for r in Snapshot(root, 0, {LEDGER: ledger}).table(spark, LEDGER).select("path").collect()]
 
@@ -134,7 +120,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
         CUSTOMERS: layers.enriched_customers(layers.standardize(customers, cfg.specs["customers"])),
         PRODUCTS: layers.enriched_products(layers.standardize(products, cfg.specs["products"])),
     }
-    staged = {name: _stage(spark, root, name, df, False) for name, df in dims.items()}
+    staged = {name: stage(spark, root, name, df) for name, df in dims.items()}
     dims = {name: Snapshot(root, 0, staged).table(spark, name) for name in dims}
     if not paths and not have(RAW):
         raise ValueError(f"Nothing has landed in {landing}")
@@ -150,7 +136,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
         if have(RAW):
             lines = lines.unionByName(base.table(spark, RAW, raw_parts).withColumn(PART, part))
         winners = layers.remove_duplicate_keys(lines, spec.key, order_by=spec.ordering())
-        new_raw = _stage(spark, root, RAW, winners, True)
+        new_raw = stage(spark, root, RAW, winners, PART)
         carried = dict(base.tables[RAW].folders) if have(RAW) else {}
         changes[RAW] = TableVersion(new_raw.schema, {**carried, **new_raw.folders})
         changes[LEDGER] = TableVersion(ledger.schema, {
@@ -171,7 +157,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
     if enriched_parts:
         wide = layers.enriched_orders(raw.table(spark, RAW, enriched_parts), dims[CUSTOMERS], dims[PRODUCTS],
                                       cfg.category_codes, cfg.sub_category_codes).withColumn(PART, part)
-        new = _stage(spark, root, ENRICHED, wide, True)
+        new = stage(spark, root, ENRICHED, wide, PART)
         rewritten = Snapshot(root, 0, {ENRICHED: new}).table(spark, ENRICHED)
         if gate is not None:
             gate(raw.table(spark, RAW, enriched_parts), rewritten)
@@ -182,7 +168,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
             sums = sums.unionByName(contributions(replaced, -1)).unionByName(base.table(spark, SUMMARY))
         changes[ENRICHED] = TableVersion(new.schema, {
             **(base.tables[ENRICHED].folders if have(ENRICHED) else {}), **new.folders})
-        changes[SUMMARY] = _stage(spark, root, SUMMARY, merge(sums), False)
+        changes[SUMMARY] = stage(spark, root, SUMMARY, merge(sums))
     made = snapshots.commit(spark, base, changes)
     snapshots.expire(spark, root, keep)
     return Increment(made, len(paths), len(raw_parts), len(enriched_parts), rows_before, rows_stored)

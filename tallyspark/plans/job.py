@@ -44,7 +44,7 @@ class PipelineRun:
 
 
 # The share of rows that may fail a reported rule before it stops the job.
-MAX_SHARES = {"unparsed_date": 0.5, "unparsed_price": 0.5, "corrupt_record": 0.5}
+MAX_SHARES = {"unparsed_date": 0.05, "unparsed_price": 0.05, "corrupt_record": 0.05}
 
 
 def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
@@ -183,7 +183,8 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
 
 
 def run(spark: SparkSession, sf_dir: str, location: str | None = None,
-        suffix: str = "", database: str | None = None, verify_keys: bool = True) -> PipelineRun:
+        suffix: str = "", database: str | None = None, verify_keys: bool = True,
+        max_shares: Mapping[str, float] | None = None) -> PipelineRun:
     """The layered job over the driver tables."""
     return run_layers(spark, star.sources(spark, sf_dir), star.config(), location, suffix,
-                      database, verify_keys)
+                      database, verify_keys, max_shares)

@@ -338,6 +338,7 @@ SELECT * FROM (SELECT order_id, line_number, concat_ws(',', """ + ", ".join(
 FROM enriched_orders) WHERE failed_rules <> ''"""
 ORACLE["q_verified_write"] = STAR + """
 SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_stored, TRUE AS matched FROM enriched_orders"""
+ORACLE["q_stream_dedup"] = ORACLE["q_dedup_keep_one"]
 ORACLE["q_bucketed_profit_by_customer"] = ORACLE["q_profit_by_customer"]
 ORACLE["q_incremental_summary"] = SUMMARY + "\nSELECT * FROM summary"
 ORACLE["q_csv_split"] = ORACLE["q_csv_roundtrip"]

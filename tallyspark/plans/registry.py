@@ -509,6 +509,22 @@ def q_stream_enriched_orders(spark, sf_dir):
     return spark.read.parquet(f"{base}/enriched").select(*STREAM_COLUMNS)
 
 
+def q_stream_dedup(spark, sf_dir):
+    """W1 on a stream: the order-line source lands as NDJSON files, and each
+    micro-batch is merged by the batch rule; whole rows, as in q_dedup_keep_one."""
+    from tallyspark.streaming import ingest, upsert
+
+    base = shared_dir(spark, "stream-dedup")
+    files.write_json(star.order_source(spark, sf_dir), f"{base}/landing")
+    landed = spark.read.format("binaryFile").load(f"{base}/landing").select("path").count()
+    stream = ingest.read_files(spark, f"{base}/landing", ORDER_SOURCE_SCHEMA,
+                               max_files_per_trigger=max(-(-landed // 3), 1))
+    upsert.run_available(stream, upsert.upsert_batches(
+        f"{base}/tables", "raw_orders", layers.DEFAULT_SPECS["orders"],
+        F.floor(F.col("order_id") / ORDERS_PER_PART).cast("long")), f"{base}/checkpoint")
+    return _profit_as_double(upsert.current(spark, f"{base}/tables", "raw_orders"))
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyspark.sources import records
+from tallyspark.session import shared_dir
+from tallyspark.sources import records, snapshots
 
 # Spark's charset lookup rejects the Python-style alias.
 _ENCODING_ALIASES = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf8": "UTF-8"}
@@ -198,13 +199,17 @@ ARRAY_ROWS = 5000
 
 def write_json_arrays(df: DataFrame, path: str, *, mode: str = "overwrite",
                       array_rows: int = ARRAY_ROWS) -> None:
-    """Pretty-printed JSON arrays, one per file, as exports deliver them. A
-    reader cannot split an array, so none holds more than ``array_rows`` rows."""
-    rows = df.select(
-        F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("row"),
-        F.spark_partition_id().alias("part"),
+    """Pretty-printed JSON arrays of at most ``array_rows`` rows, one per file, as
+    exports deliver them. Rows are stored before they are numbered: a task that
+    is run again then gives them the same numbers."""
+    scratch = shared_dir(df.sparkSession, "json-rows")
+    df.select(F.to_json(F.struct("*"), {"pretty": "true", "ignoreNullFields": "false"}).alias("row")
+              ).write.parquet(scratch)
+    rows = df.sparkSession.read.schema("row string").parquet(scratch).select(
+        "row", F.spark_partition_id().alias("part"),
         F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / array_rows)
         .alias("chunk"))
     arrays = rows.groupBy("part", "chunk").agg(F.concat(
         F.lit("[\n"), F.array_join(F.collect_list("row"), ",\n"), F.lit("\n]")).alias("value"))
     arrays.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    snapshots.delete(df.sparkSession, scratch)

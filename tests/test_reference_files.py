@@ -28,6 +28,9 @@ PRODUCTS = (
     'OFF-FA-73,Office Supplies,Fasteners,Clips,Wien,on request\n'
 )
 
+# one bad row of a few is a large share
+TINY = dict.fromkeys(("unparsed_price", "unparsed_date", "corrupt_record"), 0.5)
+
 
 def order(row, number, ordered, shipped, customer, product, quantity, price, discount, profit):
     return {"Row ID": row, "Order ID": number, "Order Date": ordered, "Ship Date": shipped,
@@ -72,7 +75,7 @@ def test_files_read_as_the_reference_reads_them(reference_sources):
 
 def test_layers_over_reference_files(spark, reference_sources):
     suffix = new_suffix()
-    run = job.run_layers(spark, reference_sources, layers.REFERENCE_CONFIG, suffix=suffix)
+    run = job.run_layers(spark, reference_sources, layers.REFERENCE_CONFIG, suffix=suffix, max_shares=TINY)
     counts = {n.removesuffix(suffix): c for n, c in run.written.items()}
     assert counts["raw_products"] == 3          # duplicate product id removed
     assert run.duplicates_removed == {"raw_customers": 0, "raw_products": 1, "raw_orders": 0}
@@ -119,7 +122,7 @@ def test_unparseable_dates_stop_the_job_unless_allowed(spark, tmp_path):
         job.run_layers(spark, src, layers.REFERENCE_CONFIG, suffix=suffix)
     assert not spark.catalog.tableExists(f"enriched_orders{suffix}")  # not published
     run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, suffix=new_suffix(),
-                         max_shares={"unparsed_date": 1.0})
+                         max_shares={**TINY, "unparsed_date": 1.0})
     assert run.reported["unparsed_date(enriched_orders)"] == (4, 4)
 
 
@@ -127,7 +130,7 @@ def test_records_with_extra_fields_are_kept_and_counted(spark, tmp_path):
     ragged = PRODUCTS + "FUR-TA-90,Furniture,Tables,Desk,Wien,55,surplus\n"
     src = landing.reference_files(spark, *write_sources(tmp_path, products=ragged))
     suffix = new_suffix()
-    run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, suffix=suffix)
+    run = job.run_layers(spark, src, layers.REFERENCE_CONFIG, suffix=suffix, max_shares=TINY)
     assert run.reported["corrupt_record(raw_products)"] == (1, 4)
     kept = spark.table(f"raw_products{suffix}").where("corrupt_record IS NOT NULL").collect()
     assert [r["corrupt_record"] for r in kept] == ["FUR-TA-90,Furniture,Tables,Desk,Wien,55,surplus"]
@@ -155,7 +158,7 @@ def test_command_line_over_files(spark, tmp_path, capsys):
     customers, products, orders = write_sources(tmp_path)
     db = "sales_" + uuid.uuid4().hex[:8]
     main(["files", "--customers", customers, "--products", products, "--orders", orders,
-          "--database", db, "--show", "3"])
+          "--database", db, "--show", "3", "--max-share", "0.5"])
     out = capsys.readouterr().out
     first = json.loads(out.splitlines()[0])
     assert first["written"][f"{db}.enriched_orders"] == 4
