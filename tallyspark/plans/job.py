@@ -130,7 +130,7 @@ def run_layers(spark: SparkSession, src: star.Sources, cfg: layers.SalesConfig,
     stored = layers.Layer(*(spark.table(name(n)).drop(CORRUPT) for n in RAW))
     # a count of its own: one observed below the dedup's shuffle may count a retried task twice
     removed = {n: df.count() - written[name(n)]
-               for n, df in zip(RAW, (src.customers, src.products, src.orders), strict=True)}
+               for n, df in zip(RAW, (src.customers, src.products, src.order_rows or src.orders), strict=True)}
 
     # enriched layer over the stored raw tables: no row lost, every category resolved
     enriched = layers.enriched_layer(stored, cfg.category_codes, cfg.sub_category_codes)

@@ -209,8 +209,10 @@ class Sources:
     customers: DataFrame
     products: DataFrame
     orders: DataFrame
+    #: a cheaper frame with as many rows as ``orders``, if there is one
+    order_rows: DataFrame | None = None
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(customer_source(spark, sf_dir), catalog_source(spark, sf_dir),
-                   order_source(spark, sf_dir))
+                   order_source(spark, sf_dir), line_items(spark, sf_dir))  # joins on unique keys
