@@ -338,6 +338,11 @@ SELECT * FROM (SELECT order_id, line_number, concat_ws(',', """ + ", ".join(
 FROM enriched_orders) WHERE failed_rules <> ''"""
 ORACLE["q_verified_write"] = STAR + """
 SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_stored, TRUE AS matched FROM enriched_orders"""
+ORACLE["q_profile"] = STAR + " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", COUNT(*) AS "rows", COUNT(*) FILTER (WHERE {c} IS NULL) AS nulls,
+       CAST(MIN({c}) AS VARCHAR) AS least, CAST(MAX({c}) AS VARCHAR) AS greatest,
+       COUNT({c}) > 0 AND COUNT(DISTINCT {c}) = COUNT({c}) AS is_key
+FROM raw_customers""" for c in ("customer_id", "customer_name", "segment", "country", "region", "address"))
 ORACLE["q_stream_dedup"] = ORACLE["q_dedup_keep_one"]
 ORACLE["q_bucketed_profit_by_customer"] = ORACLE["q_profit_by_customer"]
 ORACLE["q_incremental_summary"] = SUMMARY + "\nSELECT * FROM summary"

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 
 from tallyspark.functions.names import standardized_name
 from tallyspark.operators import aggregate as agg
+from tallyspark.operators import profile
 from tallyspark.operators import quality as qa
 from tallyspark.operators.dependencies import Dependency, dependency_errors
 from tallyspark.operators.enrich import Dimension, enrich
@@ -321,6 +322,18 @@ def q_dependencies(spark, sf_dir):
         "dependency", "rows", "groups", "violating_groups", "violating_rows", "removed_rows")
 
 
+def q_profile(spark, sf_dir):
+    """V1, V2, A10: the customer source profiled in one pass; which columns are
+    keys is settled exactly, for those that may be by their estimates."""
+    customers = standardize_column_names(star.customer_source(spark, sf_dir))
+    path = shared_dir(spark, "profile")
+    customers.write.parquet(path)
+    customers = spark.read.schema(customers.schema).parquet(path)
+    profiled = profile.profile(customers)
+    found = profile.keys(customers, profile.key_suspects(profiled))
+    return profiled.select("column", "rows", "nulls", "least", "greatest", F.col("column").isin(found).alias("is_key"))
+
+
 def q_quarantine(spark, sf_dir):
     """Enriched lines that break a rule, with the rules they break, set
     aside in the pass that writes the others."""

@@ -1,0 +1,43 @@
+"""Profiles against exact counts."""
+
+from __future__ import annotations
+
+import random
+
+from tallyspark.operators import profile as P
+
+
+def test_estimates_stay_within_their_bounds(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, *range(40)]), rng.gauss(0, 9), f"name {rng.randint(0, 3000)}",
+             "hot" if rng.random() < 0.4 else f"v{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id int, few int, `odd name` double, text string, skew string")
+    got = {r["column"]: r for r in P.profile(df).collect()}
+    assert set(got) == set(df.columns)
+    for at, name in enumerate(df.columns):
+        values = [r[at] for r in rows if r[at] is not None]
+        row = got[name]
+        assert (row["rows"], row["nulls"]) == (6000, 6000 - len(values))
+        assert abs(row["distinct"] - len(set(values))) <= P.KEY_ERRORS * P.ERROR * len(set(values))
+        if at < 3:
+            ranks = sorted(values)
+            for q, x in zip(P.QUANTILES, row["quantiles"], strict=True):
+                below, upto = sum(v < x for v in ranks), sum(v <= x for v in ranks)
+                assert below / len(ranks) - 0.02 <= q <= upto / len(ranks) + 0.02
+        else:
+            assert row["quantiles"] is None and (row["least"], row["greatest"]) == (min(values), max(values))
+    hot = got["skew"]["top"][0]
+    assert hot["value"] == "hot" and abs(hot["n"] - sum(r[4] == "hot" for r in rows)) <= 60
+    suspects = P.key_suspects(P.profile(df))
+    assert "id" in suspects and "few" not in suspects
+    assert P.keys(df, suspects) == ["id", "odd name"]
+
+
+def test_near_keys_nulls_and_empty(spark):
+    df = spark.range(2000).selectExpr("id", "IF(id = 7, 8, id) AS nearly", "IF(id < 5, NULL, id) AS some",
+                                      "CAST(NULL AS string) AS none")
+    suspects = P.key_suspects(P.profile(df))
+    assert set(suspects) == {"id", "nearly", "some"}
+    assert P.keys(df, suspects) == ["id", "some"]
+    empty = P.profile(df.limit(0)).collect()
+    assert [(r["rows"], r["nulls"], r["distinct"], r["top"]) for r in empty] == [(0, 0, 0, [])] * 4
