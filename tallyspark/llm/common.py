@@ -19,6 +19,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_resident: dict = {}
+
+
+def resident(key: tuple, build: Callable):
+    """A large table that a Python worker keeps from task to task. It keeps one:
+    workers outlive an operator, and its tables go when the next one's come."""
+    if key not in _resident:
+        _resident.clear()
+        made = build()  # which may need another for a while
+        _resident.clear()
+        _resident[key] = made
+    return _resident[key]
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` on executors that have this package."""
     ship_package(df.sparkSession)

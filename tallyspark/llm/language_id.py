@@ -78,7 +78,7 @@ class Lattice:
             rows = np.flatnonzero(self.length > start)
             node = np.zeros(len(rows), np.int32)
             for end in range(start + 1, self.width + 1):
-                node = trie.next[node, letters[rows, end - 1]]
+                node = trie.step(node, letters[rows, end - 1])
                 alive = (node > 0) & (self.length[rows] >= end)
                 rows, node = rows[alive], node[alive]
                 if not len(rows):
@@ -121,7 +121,7 @@ class LongWord:
         self.length = len(letters)
         starts, node, found = np.arange(self.length), np.zeros(self.length, np.int32), []
         for size in range(1, self.length + 1):
-            node = trie.next[node, letters[starts + size - 1]]
+            node = trie.step(node, letters[starts + size - 1])
             alive = node > 0
             starts, node = starts[alive], node[alive]
             known = trie.piece[node] >= 0
@@ -316,13 +316,13 @@ def _least_fit(model: Model, words: DataFrame, ranks: str, min_fit: float) -> np
     return fit - (1 - min_fit) * abs(fit)
 
 
-def _predict(model, ranks: str, texts: list[str | None], least: np.ndarray | None = None
+def _predict(model, ranks: str, texts: pa.Array, least: np.ndarray | None = None
              ) -> tuple[list[str], np.ndarray]:
-    """``least`` belongs to a model with a background: texts that fit worse are ``und``."""
+    """Languages and scores, a block of texts at a time. ``least`` belongs to a model with a background: texts that fit worse are ``und``."""
     trie = load_trie(ranks)
     names, scores = [], []
     for at in range(0, len(texts), BLOCK_DOCS):
-        block = texts[at:at + BLOCK_DOCS]
+        block = texts.slice(at, BLOCK_DOCS).to_pylist()
         known = np.array([bool(model.languages) and has_letter(t) for t in block], bool)
         if not model.languages:
             names += ["und"] * len(block)
@@ -347,7 +347,7 @@ def identify(docs: DataFrame, ranks: str, sample_docs: int = SAMPLE_DOCS) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = _predict(model.value, ranks, batch.column(2).to_pylist())
+            names, scores = _predict(model.value, ranks, batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)],
                 ["doc_id", "held_out", "lang_pred", "score"])
@@ -371,7 +371,7 @@ def keep_identified(docs: DataFrame, ranks: str, min_score: float = MIN_SCORE,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = _predict(model.value, ranks, batch.column(at).to_pylist(), least)
+            names, scores = _predict(model.value, ranks, batch.column(at), least)
             yield batch.filter(pa.array([n != "und" and s >= min_score
                                          for n, s in zip(names, scores, strict=True)], pa.bool_()))
 

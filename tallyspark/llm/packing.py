@@ -34,7 +34,6 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_arrow, stored
+from tallyspark.llm.common import map_arrow, resident, stored
 
 WINDOW = 1024
 SHARD_DOCS = 1024
@@ -115,10 +114,9 @@ class TokenIds:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-@lru_cache(maxsize=2)
 def token_ids(tokenizer_json: str, ranks: str) -> TokenIds:
     """One per Python worker, whatever the number of its tasks."""
-    return TokenIds(tokenizer_json, ranks)
+    return resident(("token ids", tokenizer_json, ranks), lambda: TokenIds(tokenizer_json, ranks))
 
 
 @dataclass(frozen=True)

@@ -20,14 +20,13 @@ ids stay as they are; extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_arrow, utf8
+from tallyspark.llm.common import map_arrow, resident, utf8
 from tallyspark.llm.vocabulary import Trie, load_trie
 
 MEMO_ENTRIES = 400_000
@@ -89,10 +88,9 @@ class LongestMatch:
         return len(words), sum(counts)
 
 
-@lru_cache(maxsize=2)
 def automaton(ranks: str) -> LongestMatch:
     """One per Python worker, whatever the number of its tasks."""
-    return LongestMatch(load_trie(ranks))
+    return resident(("longest match", ranks), lambda: LongestMatch(load_trie(ranks)))
 
 
 def count_tokens(docs: DataFrame, ranks: str) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 
+from tallyspark.llm.common import resident
+
 
 class Trie:
     """Nodes are numbered by the length of their string, so a parent comes
@@ -26,17 +28,26 @@ class Trie:
         self.piece[[number[p] for p in self.pieces]] = np.arange(len(self.pieces))
 
     @cached_property
-    def next(self) -> np.ndarray:
-        """Child by node and byte, 0 where there is none."""
-        table = np.zeros((len(self.parent), 256), np.int32)
-        table[self.parent[1:], self.byte[1:]] = np.arange(1, len(self.parent))
-        return table
-
-
-@lru_cache(maxsize=2)
-def load_trie(ranks: str, max_piece: int | None = None) -> Trie:
-    """The trie of a rank file (a base64 piece and its number per line), of all
-    pieces or those of at most ``max_piece`` bytes; one per Python worker."""
-    with open(ranks, "rb") as file:
-        pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    return Trie([p for p in pieces if max_piece is None or len(p) <= max_piece])
+    def _children(self) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each node, and child by row and byte, 0 where there is none.
+        Leaves share the last row."""
+        inner = np.unique(self.parent[1:])
+        row = np.full(len(self.parent), len(inner), np.int32)
+        row[inner] = np.arange(len(inner))
+        table = np.zeros((len(inner) + 1, 256), np.int32)
+        table[row[self.parent[1:]], self.byte[1:]] = np.arange(1, len(self.parent))
+        return row, table
+
+    def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Children of nodes, 0 where there is none."""
+        row, table = self._children
+        return table[row[node], byte]
+
+
+def load_trie(ranks: str) -> Trie:
+    """The trie of a rank file (a base64 piece and its number per line)."""
+    def build() -> Trie:
+        with open(ranks, "rb") as file:
+            return Trie([base64.b64decode(line.split()[0]) for line in file if line.strip()])
+
+    return resident(("trie", ranks), build)
