@@ -24,7 +24,8 @@ items of fewer words than a shingle count as one shingle; a document shorter
 than the item is one window. Nulls: null texts and items have no words and
 match nothing; rows with a null ``doc_id`` or ``item_id`` are reported under
 null. Repeated rows are reported as often as they occur. Extra columns are
-ignored. Empty tables give an empty result.
+ignored. Very long texts are searched whole, in one task each. Empty tables give
+an empty result.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ Texts meet their successor's opening through two joins on ``doc_id``.
 Nulls: a null text counts as empty, which is one empty paragraph. A null
 ``doc_id`` has no successor (nothing is put in) and is no one's. Rows that
 repeat a ``doc_id`` share a successor, and as a successor the row with the
-least text hash stands for all. Extra columns are ignored; an empty table gives
+least text hash stands for all. Very long texts are counted whole, in blocks. Extra columns are ignored; an empty table gives
 an empty result.
 """
 

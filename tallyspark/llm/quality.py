@@ -14,7 +14,8 @@ that may be learned from, of which the driver gets the features alone. Repeated
 label rows of an id weigh as often as they occur; of repeated documents one is
 learned from. Every document is scored whole, in one pass without a shuffle.
 
-Null and empty texts have all features zero and are scored like any other.
+Null and empty texts have all features zero and are scored like any other; very
+long ones are read whole, in one task each.
 Null labels and ids are not learned from; a null ``doc_id`` is not held out.
 Without any label the score is 0.5. Extra columns are ignored.
 """

@@ -26,7 +26,8 @@ those inside a pattern's span add nothing and are left out.
 Everything is built-in column functions on one row: no shuffle but for that
 count, and no key that could be hot. Offsets are code points, ends exclusive.
 
-Nulls: a null text has no spans (and stays null when redacted). Null or
+Nulls: a null text has no spans (and stays null when redacted). Very long texts
+are scanned whole; their offsets are summed in blocks. Null or
 repeated ids, repeated rows and extra columns pass through. An empty table
 gives an empty result.
 """
