@@ -3,8 +3,9 @@ results, and vectorised hashing of words and word n-grams."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _resident: dict = {}
 
 
+def _drop_resident() -> None:
+    """Also gives what was freed back to the system, where the C library can."""
+    _resident.clear()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def resident(key: tuple, build: Callable):
     """A large table that a Python worker keeps from task to task. It keeps one:
     workers outlive an operator, and its tables go when the next one's come."""
     if key not in _resident:
-        _resident.clear()
+        _drop_resident()
         made = build()  # which may need another for a while
-        _resident.clear()
+        _drop_resident()
         _resident[key] = made
     return _resident[key]
 

@@ -46,7 +46,7 @@ SAMPLE_DOCS = 1000
 ROUNDS = 3
 SMOOTHING = 0.01
 BLOCK_BYTES = 32  # longer words are summed one at a time
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 BLOCK_DOCS = 256
 MIN_SCORE = 0.5
 MIN_FIT = 0.15
