@@ -90,9 +90,9 @@ def test_run_is_registered_and_chains_the_stages(spark, planted):
     assert ids.isdisjoint({10, 200, 201, 202, 203}) and 20 in ids
 
 
-def test_ten_operators_are_registered():
+def test_thirteen_operators_are_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_only_the_result_stays_in_the_shared_folder(spark, planted, monkeypatch):
