@@ -19,10 +19,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyspark.operators.keyed import remove_duplicate_keys
 from tallyspark.operators.transforms import standardize_column_names, trim_string_columns
 from tallyspark.plans.layers import SourceSpec
 from tallyspark.sources import snapshots
@@ -47,7 +45,8 @@ def upsert_batches(root: str, table: str, spec: SourceSpec, part: Column, stream
         if progress in base.tables and base.tables[progress].rows >= batch_id:
             return  # merged before the failure that made Spark send it again
         rows = trim_string_columns(standardize_column_names(batch)).withColumn(PART, part)
-        parts = [r[0] for r in rows.select(F.col(PART).cast("string")).distinct().collect()]
+        sizes = snapshots.part_rows(rows, PART)
+        parts = list(sizes)
         if None in parts:
             raise ValueError("some rows have no part: their key is NULL")
         if not parts:
@@ -55,9 +54,10 @@ def upsert_batches(root: str, table: str, spec: SourceSpec, part: Column, stream
         carried = {}
         if table in base.tables:
             carried = base.tables[table].folders
-            rows = rows.unionByName(base.table(spark, table, parts).withColumn(PART, part))
-        least = remove_duplicate_keys(rows, spec.key, order_by=spec.ordering())
-        new = snapshots.stage(spark, root, table, least, PART)
+            stored = base.table(spark, table, parts).withColumn(PART, part)
+            sizes += snapshots.part_rows(stored, PART)
+            rows = rows.unionByName(stored)
+        new = snapshots.stage_first(spark, root, table, rows, PART, sizes, spec.key, spec.ordering())
         snapshots.commit(spark, base, {
             table: TableVersion(new.schema, {**carried, **new.folders}),
             progress: TableVersion(new.schema, {}, batch_id)})
