@@ -130,13 +130,15 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
     raw_parts: list[str] = []
     if paths:
         lines = trim_string_columns(standardize_column_names(read(paths))).withColumn(PART, part)
-        raw_parts = [r[0] for r in lines.select(F.col(PART).cast("string")).distinct().collect()]
+        sizes = snapshots.part_rows(lines, PART)
+        raw_parts = list(sizes)
         if None in raw_parts:
             raise ValueError("some landed lines have no part: their key is NULL")
         if have(RAW):
-            lines = lines.unionByName(base.table(spark, RAW, raw_parts).withColumn(PART, part))
-        winners = layers.remove_duplicate_keys(lines, spec.key, order_by=spec.ordering())
-        new_raw = stage(spark, root, RAW, winners, PART)
+            stored = base.table(spark, RAW, raw_parts).withColumn(PART, part)
+            sizes += snapshots.part_rows(stored, PART)
+            lines = lines.unionByName(stored)
+        new_raw = snapshots.stage_first(spark, root, RAW, lines, PART, sizes, spec.key, spec.ordering())
         carried = dict(base.tables[RAW].folders) if have(RAW) else {}
         changes[RAW] = TableVersion(new_raw.schema, {**carried, **new_raw.folders})
         changes[LEDGER] = TableVersion(ledger.schema, {

@@ -185,3 +185,43 @@ def test_json_arrays_one_per_file(spark):
     texts = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
     assert len(texts) >= 7 and all(1 <= len(json.loads(t)) <= 4 for t in texts)
     assertDataFrameEqual(files.read_json(spark, path, "id bigint, note string", multi_line=True), df)
+
+
+def test_json_arrays_compressed_are_not_shuffled(spark):
+    path = shared_dir(spark, "t-arrays-gz")
+    df = spark.range(0, 23, 1, 2).selectExpr("id", "IF(id % 3 = 0, NULL, concat('a\n]}\"', id)) AS note")
+    before = set(os.listdir(os.path.dirname(path)))
+    files.write_json_arrays(df, path, array_rows=4, compression="gzip")
+    assert set(os.listdir(os.path.dirname(path))) - before == {os.path.basename(path)}
+    texts = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
+    # tasks of 11 and 12 rows each write their own arrays
+    assert sorted(len(json.loads(t)) for t in texts) == [3, 4, 4, 4, 4, 4]
+    assert all(n.endswith(".txt.gz") for n in os.listdir(path) if n.startswith("part-"))
+    for split in (False, True):
+        back = files.read_json(spark, path, "id bigint, note string", multi_line=True, split=split)
+        assertDataFrameEqual(back, df)
+
+
+def test_order_lines_land_compressed(spark, sf_dir, monkeypatch):
+    from tallyspark.plans import registry
+    from tallyspark.sources import snapshots
+
+    landed, write = [], files.write_json
+
+    def spy(df, path, **options):
+        write(df, path, **options)
+        landed.append([n for n in snapshots.list_names(spark, path) if n.startswith("part-")])
+
+    monkeypatch.setattr(files, "write_json", spy)
+    for name in ("q_json_roundtrip", "q_stream_dedup", "q_stream_enriched_orders", "q_incremental_summary"):
+        registry.QUERIES[name](spark, sf_dir)
+    assert len(landed) == 5
+    assert all(names and all(n.endswith(".json.gz") for n in names) for names in landed)
+
+
+def test_order_lines_carry_the_product_code_only(spark, sf_dir):
+    from tallyspark.plans import star
+
+    plan = star.order_source(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    carried = [line for line in plan.splitlines() if "Project" in line and "l_orderkey" in line]
+    assert carried and not any("p_type" in line or "p_brand" in line for line in carried)
