@@ -159,7 +159,7 @@ def advance(spark: SparkSession, root: str, landing: str, read: Callable[[list[s
     if enriched_parts:
         wide = layers.enriched_orders(raw.table(spark, RAW, enriched_parts), dims[CUSTOMERS], dims[PRODUCTS],
                                       cfg.category_codes, cfg.sub_category_codes).withColumn(PART, part)
-        new = stage(spark, root, ENRICHED, wide, PART)
+        new = stage(spark, root, ENRICHED, wide, PART, from_parts=True)
         rewritten = Snapshot(root, 0, {ENRICHED: new}).table(spark, ENRICHED)
         if gate is not None:
             gate(raw.table(spark, RAW, enriched_parts), rewritten)
