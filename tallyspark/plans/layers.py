@@ -175,12 +175,20 @@ def enriched_orders(raw_orders: DataFrame, customers: DataFrame | None,
     """Order lines + customer name and country + product category and
     sub-category; gaps in the product dimension decoded from the product id.
     A dimension of None is left out, with the columns it brings."""
+    return widened_orders(typed_orders(raw_orders), customers, products, category_codes, sub_category_codes)
+
+
+def widened_orders(typed: DataFrame, customers: DataFrame | None, products: DataFrame | None,
+                   category_codes: Mapping[str, str] = REFERENCE_CATEGORY_CODES,
+                   sub_category_codes: Mapping[str, str] = REFERENCE_SUB_CATEGORY_CODES
+                   ) -> DataFrame:
+    """``enriched_orders`` of lines that are typed."""
     dimensions = []
     if customers is not None:
         dimensions.append(Dimension(customers, "customer_id", ("customer_name", "country")))
     if products is not None:
         dimensions.append(Dimension(products, "product_id", ("category", "sub_category")))
-    wide = enrich(typed_orders(raw_orders), dimensions)
+    wide = enrich(typed, dimensions)
     if products is None:
         return wide
     return derive_category_from_product_id(wide, category_codes, sub_category_codes)
